@@ -1,46 +1,63 @@
-"""Aggregate expressions shared by the KPI tables."""
+"""KPI measures in two steps: sums and counts per group, then the figures made from them.
+
+All KPI tables share the first step, so one table of sums and counts can serve them all. Columns that a
+KPI table does not use are pruned by Spark.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def flag_total(flag: str) -> Column:
-    return F.sum(F.col(flag).cast("int"))
+# Sums of Silver columns taken over delivered orders only.
+DELIVERED_SUMS = ("delivery_days_actual", "delivery_days_estimated", "delivery_delay_days")
+PLAIN_SUMS = ("payment_value", "review_score", "freight_ratio", *DELIVERED_SUMS)
 
 
-def on_time_total() -> Column:
-    """Delivered and not late. A delivered order whose delay is unknown counts as on time."""
-    hit = F.col("is_delivered") & ~F.col("is_late_delivery")
-    return F.sum(F.when(hit, 1).otherwise(0))
+def totals() -> list[Column]:
+    """Aggregates over Silver: `orders`, `rows`, flag totals, and `<x>_sum` / `<x>_n` per measure."""
+    delivered, late = F.col("is_delivered"), F.col("is_late_delivery")
+    out = [
+        F.count(F.lit(1)).alias("rows"),
+        F.count("order_id").alias("orders"),
+        F.sum(delivered.cast("int")).alias("delivered"),
+        F.sum(F.col("is_canceled").cast("int")).alias("canceled"),
+        # A delivered order whose delay is unknown is not late, so it counts as on time.
+        F.sum(F.when(delivered & ~late, 1).otherwise(0)).alias("on_time"),
+        F.sum(late.cast("int")).alias("late"),
+    ]
+    sources = {name: F.col(name) for name in PLAIN_SUMS}
+    sources |= {f"delivered_{n}": F.when(delivered, F.col(n)) for n in DELIVERED_SUMS}
+    for name, value in sources.items():
+        out += [F.sum(value).alias(f"{name}_sum"), F.count(value).alias(f"{name}_n")]
+    return out
 
 
-def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    """part / whole * 100, null instead of an error when `whole` is zero or null."""
-    return F.round(F.try_divide(part.cast("double"), whole.cast("double")) * 100, digits)
+def ratio(part: Column, whole: Column) -> Column:
+    """Null instead of an error when `whole` is zero or null."""
+    return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def otif_pct() -> Column:
-    return percent(on_time_total(), flag_total("is_delivered"))
+def percent(part: str | Column, whole: str | Column, digits: int = 2) -> Column:
+    part, whole = (F.col(x) if isinstance(x, str) else x for x in (part, whole))
+    return F.round(ratio(part, whole) * 100, digits)
 
 
-def mean(value: str, digits: int) -> Column:
-    return F.round(F.avg(value), digits)
+def otif_pct() -> Column:
+    return percent("on_time", "delivered")
 
 
-def delivered_mean(value: str, digits: int = 1) -> Column:
-    """Average over delivered orders only, null when there is none."""
-    return F.round(F.avg(F.when(F.col("is_delivered"), F.col(value))), digits)
+def average(name: str, digits: int) -> Column:
+    """Exact sum first, one division in double last; null when there is nothing to average."""
+    return F.round(ratio(F.col(f"{name}_sum"), F.col(f"{name}_n")), digits)
 
 
-def money_total(value: str = "payment_value") -> Column:
-    return F.round(F.sum(value).cast("double"), 2)
+def average_delivered(name: str, digits: int = 1) -> Column:
+    return average(f"delivered_{name}", digits)
 
 
-def money_mean(value: str = "payment_value") -> Column:
-    """Exact decimal sum first, one division in double last."""
-    return F.round(F.try_divide(F.sum(value).cast("double"), F.count(value)), 2)
+def money_total(name: str = "payment_value") -> Column:
+    return F.round(F.col(f"{name}_sum").cast("double"), 2)
 
 
 def weighted_mean(value: str, weight: str) -> Column:

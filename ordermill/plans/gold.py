@@ -1,17 +1,19 @@
 """The five KPI tables (Gold) and the Silver preview.
 
-Each is a single aggregation over Silver. Spark combines rows per task before the shuffle, so only one
-row per group and task moves, however uneven the groups are. Results are unordered; the order of the
-exported files is applied when they are written.
+Each table is one aggregation over Silver. Spark combines rows per task before the shuffle, so only one
+row per group and task moves, however uneven the groups are. `kpi_tables` computes all five from a single
+scan. Results are unordered; the order of the exported files is applied when they are written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions import measures as m
 
+MONTH = "yyyy-MM"
+
 
 def passed_only(silver: DataFrame, only_passed: bool) -> DataFrame:
     """Quality flags do not drop rows unless asked to."""
@@ -23,65 +25,102 @@ def _delivered(silver: DataFrame) -> DataFrame:
     return silver.filter(F.col("order_status") == "delivered")
 
 
-def kpi_global(silver: DataFrame) -> DataFrame:
-    return silver.agg(
-        F.count("order_id").alias("total_orders"),
-        m.flag_total("is_delivered").alias("total_delivered"),
-        m.flag_total("is_canceled").alias("total_canceled"),
+def _measured(groups: GroupedData | DataFrame) -> DataFrame:
+    return groups.agg(*m.totals())
+
+
+# --- from totals per group to the columns of a KPI table
+
+
+def _global_columns(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        F.col("orders").alias("total_orders"),
+        F.col("delivered").alias("total_delivered"),
+        F.col("canceled").alias("total_canceled"),
         m.otif_pct().alias("otif_rate_pct"),
-        m.delivered_mean("delivery_days_actual").alias("avg_delivery_days_actual"),
-        m.delivered_mean("delivery_days_estimated").alias("avg_delivery_days_estimated"),
-        m.delivered_mean("delivery_delay_days").alias("avg_delay_days"),
+        m.average_delivered("delivery_days_actual").alias("avg_delivery_days_actual"),
+        m.average_delivered("delivery_days_estimated").alias("avg_delivery_days_estimated"),
+        m.average_delivered("delivery_delay_days").alias("avg_delay_days"),
         m.money_total().alias("total_revenue_brl"),
-        m.money_mean().alias("avg_order_value_brl"),
-        m.mean("review_score", 2).alias("avg_review_score"),
-        F.round(F.avg("freight_ratio") * 100, 1).alias("avg_freight_ratio_pct"),
+        m.average("payment_value", 2).alias("avg_order_value_brl"),
+        m.average("review_score", 2).alias("avg_review_score"),
+        m.percent("freight_ratio_sum", "freight_ratio_n", 1).alias("avg_freight_ratio_pct"),
         F.current_timestamp().alias("gold_computed_at"),
     )
 
 
-def kpi_monthly(silver: DataFrame) -> DataFrame:
-    canceled, orders = m.flag_total("is_canceled"), F.count("order_id")
-    return silver.groupBy(F.date_format("order_purchase_ts", "yyyy-MM").alias("order_month")).agg(
-        orders.alias("orders"),
-        m.flag_total("is_delivered").alias("delivered"),
-        canceled.alias("canceled"),
+def _monthly_columns(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        "order_month",
+        "orders",
+        "delivered",
+        "canceled",
         m.otif_pct().alias("otif_rate_pct"),
-        m.delivered_mean("delivery_days_actual").alias("avg_delivery_days"),
-        m.delivered_mean("delivery_delay_days").alias("avg_delay_days"),
+        m.average_delivered("delivery_days_actual").alias("avg_delivery_days"),
+        m.average_delivered("delivery_delay_days").alias("avg_delay_days"),
         m.money_total().alias("revenue_brl"),
-        m.mean("review_score", 2).alias("avg_review_score"),
-        m.percent(canceled, orders).alias("cancellation_rate_pct"),
+        m.average("review_score", 2).alias("avg_review_score"),
+        m.percent("canceled", "orders").alias("cancellation_rate_pct"),
     )
 
 
-def kpi_category(silver: DataFrame) -> DataFrame:
-    """Orders touching a category: an order counts in full once per category it has items of."""
-    touching = silver.withColumn("category", F.explode("categories")).filter("category IS NOT NULL")
-    return touching.groupBy("category").agg(
-        F.count("order_id").alias("orders"),
+def _category_columns(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        "category",
+        "orders",
         m.money_total().alias("revenue_brl"),
-        m.money_mean().alias("avg_order_value"),
-        m.mean("review_score", 2).alias("avg_review_score"),
+        m.average("payment_value", 2).alias("avg_order_value"),
+        m.average("review_score", 2).alias("avg_review_score"),
         m.otif_pct().alias("otif_rate_pct"),
     )
 
 
-def kpi_nps(silver: DataFrame) -> DataFrame:
-    """Per review score. The total is summed over the finished groups (one row per score), so Silver is
-    read once."""
-    groups = (
-        silver.filter("review_score IS NOT NULL")
-        .groupBy(F.col("review_score").cast("int").alias("review_score_int"))
-        .agg(
-            F.count("order_id").alias("orders"),
-            m.money_mean().alias("avg_payment_value"),
-            m.mean("delivery_days_actual", 1).alias("avg_delivery_days"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
+def _nps_columns(totals: DataFrame) -> DataFrame:
+    # The grand total is summed over the finished groups, one row per score.
+    reviewed = F.sum("rows").over(Window.partitionBy())
+    return totals.select(
+        "review_score_int",
+        "orders",
+        m.average("payment_value", 2).alias("avg_payment_value"),
+        m.average("delivery_days_actual", 1).alias("avg_delivery_days"),
+        m.percent(F.col("orders"), reviewed).alias("pct_of_total"),
     )
-    total = F.sum("_rows").over(Window.partitionBy())
-    return groups.withColumn("pct_of_total", m.percent(F.col("orders"), total)).drop("_rows")
+
+
+def _state_columns(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        "seller_state",
+        "orders",
+        m.average("delivery_days_actual", 1).alias("avg_delivery_days"),
+        m.average("delivery_delay_days", 1).alias("avg_delay_days"),
+        m.percent("on_time", "orders").alias("otif_rate_pct"),
+        m.money_total().alias("revenue_brl"),
+        m.average("review_score", 2).alias("avg_review_score"),
+    )
+
+
+# --- one table at a time
+
+
+def kpi_global(silver: DataFrame) -> DataFrame:
+    return _global_columns(_measured(silver))
+
+
+def kpi_monthly(silver: DataFrame) -> DataFrame:
+    month = F.date_format("order_purchase_ts", MONTH).alias("order_month")
+    return _monthly_columns(_measured(silver.groupBy(month)))
+
+
+def kpi_category(silver: DataFrame) -> DataFrame:
+    """Orders touching a category: an order counts in full once per category it has items of."""
+    touching = silver.withColumn("category", F.explode("categories")).filter("category IS NOT NULL")
+    return _category_columns(_measured(touching.groupBy("category")))
+
+
+def kpi_nps(silver: DataFrame) -> DataFrame:
+    """Per review score, with its share of all reviewed orders."""
+    score = F.col("review_score").cast("int").alias("review_score_int")
+    return _nps_columns(_measured(silver.filter("review_score IS NOT NULL").groupBy(score)))
 
 
 def kpi_seller_state(silver: DataFrame) -> DataFrame:
@@ -91,27 +130,7 @@ def kpi_seller_state(silver: DataFrame) -> DataFrame:
         .withColumn("seller_state", F.explode("seller_states"))
         .filter("seller_state IS NOT NULL")
     )
-    on_time = F.sum(F.when(~F.col("is_late_delivery"), 1).otherwise(0))
-    return touching.groupBy("seller_state").agg(
-        F.count("order_id").alias("orders"),
-        m.mean("delivery_days_actual", 1).alias("avg_delivery_days"),
-        m.mean("delivery_delay_days", 1).alias("avg_delay_days"),
-        m.percent(on_time, F.count("order_id")).alias("otif_rate_pct"),
-        m.money_total().alias("revenue_brl"),
-        m.mean("review_score", 2).alias("avg_review_score"),
-    )
-
-
-def silver_preview(silver: DataFrame) -> DataFrame:
-    late = F.avg(F.col("is_late_delivery").cast("int")) * 100
-    return _delivered(silver).agg(
-        m.mean("delivery_days_actual", 1).alias("avg_delivery_days"),
-        m.mean("delivery_days_estimated", 1).alias("avg_estimated_days"),
-        m.mean("delivery_delay_days", 1).alias("avg_delay_days"),
-        F.round(late, 1).alias("pct_late"),
-        m.money_mean().alias("avg_payment_value"),
-        m.mean("review_score", 2).alias("avg_review_score"),
-    )
+    return _state_columns(_measured(touching.groupBy("seller_state")))
 
 
 KPI_TABLES = {
@@ -121,3 +140,60 @@ KPI_TABLES = {
     "kpi_nps": kpi_nps,
     "kpi_seller_state": kpi_seller_state,
 }
+
+
+# --- all tables from one scan
+
+
+def _memberships() -> Column:
+    """The groups an order belongs to, as (kpi table, group) pairs."""
+
+    def pair(table: str, item: Column) -> Column:
+        return F.struct(F.lit(table).alias("table"), item.cast("string").alias("item"))
+
+    def pairs(table: str, names: Column) -> Column:
+        return F.transform(F.array_compact(names), lambda name: pair(table, name))
+
+    nothing = F.array().cast("array<struct<table:string,item:string>>")
+    score, month = F.col("review_score").cast("int"), F.date_format("order_purchase_ts", MONTH)
+    delivered = F.col("order_status") == "delivered"
+    return F.concat(
+        F.array(pair("kpi_global", F.lit(None)), pair("kpi_monthly", month)),
+        F.when(score.isNotNull(), F.array(pair("kpi_nps", score))).otherwise(nothing),
+        F.coalesce(pairs("kpi_category", F.col("categories")), nothing),
+        F.when(delivered, F.coalesce(pairs("kpi_seller_state", F.col("seller_states")), nothing))
+        .otherwise(nothing),
+    )
+
+
+def group_totals(silver: DataFrame) -> DataFrame:
+    """Totals of every group of every KPI table, from one scan and one shuffle of partial sums."""
+    rows = silver.withColumn("member", F.explode(_memberships()))
+    return _measured(rows.groupBy("member.table", "member.item"))
+
+
+def kpi_tables(totals: DataFrame) -> dict[str, DataFrame]:
+    """The five KPI tables from `group_totals`. Write those first: they are read once per table."""
+
+    def of(table: str, key: str = "item", kind: str = "string") -> DataFrame:
+        rows = totals.filter(F.col("table") == table)
+        return rows.withColumn(key, F.col("item").cast(kind))
+
+    return {
+        "kpi_global": _global_columns(of("kpi_global")),
+        "kpi_monthly": _monthly_columns(of("kpi_monthly", "order_month")),
+        "kpi_category": _category_columns(of("kpi_category", "category")),
+        "kpi_nps": _nps_columns(of("kpi_nps", "review_score_int", "int")),
+        "kpi_seller_state": _state_columns(of("kpi_seller_state", "seller_state")),
+    }
+
+
+def silver_preview(silver: DataFrame) -> DataFrame:
+    return _measured(_delivered(silver)).select(
+        m.average("delivery_days_actual", 1).alias("avg_delivery_days"),
+        m.average("delivery_days_estimated", 1).alias("avg_estimated_days"),
+        m.average("delivery_delay_days", 1).alias("avg_delay_days"),
+        m.percent("late", "rows", 1).alias("pct_late"),
+        m.average("payment_value", 2).alias("avg_payment_value"),
+        m.average("review_score", 2).alias("avg_review_score"),
+    )

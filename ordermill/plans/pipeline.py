@@ -10,7 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.plans.gold import KPI_TABLES, passed_only
+from ordermill.plans.gold import group_totals, kpi_tables, passed_only
 from ordermill.plans.silver import PARTITION_COLUMN, build_silver
 from ordermill.schemas import RAW_SCHEMAS
 from ordermill.sources.raw import ingest_all
@@ -33,10 +33,12 @@ def refresh_silver(spark: SparkSession, raw: Mapping[str, DataFrame], root: str)
 def refresh_gold(
     spark: SparkSession, silver: DataFrame, root: str, only_passed: bool = False
 ) -> dict[str, DataFrame]:
-    source = passed_only(silver, only_passed)
-    for name, build in KPI_TABLES.items():
-        write_table(build(source), f"{root}/gold/{name}")
-    return {name: read_table(spark, f"{root}/gold/{name}") for name in KPI_TABLES}
+    """All KPI tables. Silver is scanned once, into a small stored table of totals per group."""
+    write_table(group_totals(passed_only(silver, only_passed)), f"{root}/gold/group_totals")
+    kpis = kpi_tables(read_table(spark, f"{root}/gold/group_totals"))
+    for name, table in kpis.items():
+        write_table(table, f"{root}/gold/{name}")
+    return {name: read_table(spark, f"{root}/gold/{name}") for name in kpis}
 
 
 def run(spark: SparkSession, folder: str, root: str) -> dict[str, DataFrame]:

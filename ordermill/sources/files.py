@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,6 +19,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_path(spark, path))
 
 
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """File names in a folder, hidden ones left out; empty when the folder is missing."""
+    if not path_exists(spark, folder):
+        return []
+    found = _file_system(spark, folder).listStatus(_path(spark, folder))
+    names = [status.getPath().getName() for status in found]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    stream = _file_system(spark, path).open(_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears complete or not at all; fails when it exists."""
+    fs, target = _file_system(spark, path), _path(spark, path)
+    hidden = _path(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
+    stream = fs.create(hidden, False)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    if fs.exists(target) or not fs.rename(hidden, target):
+        fs.delete(hidden, False)
+        raise FileExistsError(path)
+
+
 def move_single_part(spark: SparkSession, folder: str, target: str) -> None:
     """Give the only part file of a written folder the name `target`, replacing an older file."""
     fs = _file_system(spark, folder)

@@ -1,11 +1,11 @@
 """Tables as parquet snapshots.
 
     <path>/snapshots/v=<n>/...   one complete state of the table
-    <path>/runs/...              one JSON row per finished write: version, time, operation, rows
+    <path>/runs/<n>.json         one small file per finished write: version, time, operation, rows
 
-A write fills a new snapshot folder and then appends its row to `runs`; that row makes it visible.
-Readers of an older snapshot are not disturbed, and a write that dies leaves the table as it was. A table
-has one writer at a time.
+A write fills a new snapshot folder and then adds its file to `runs`, which makes it visible. Readers of
+an older snapshot are not disturbed, and a write that dies leaves the table as it was. A table has one
+writer at a time; a second one that finishes the same version fails.
 """
 
 from __future__ import annotations
@@ -17,21 +17,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators.upsert import require_unique, upsert
-from ordermill.sources.files import path_exists
+from ordermill.sources.files import create_text, list_names, read_text
 
 RUNS_SCHEMA = """
     version BIGINT, committed_at TIMESTAMP, operation STRING, parameters STRING, rows BIGINT"""
 
 
-def _runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS_SCHEMA).json(f"{path}/runs")
-
-
-def latest_run(spark: SparkSession, path: str):
-    """The newest finished write as a row, or None when there is none."""
-    if not path_exists(spark, f"{path}/runs"):
-        return None
-    return _runs(spark, path).orderBy(F.desc("version")).first()
+def latest_run(spark: SparkSession, path: str) -> dict | None:
+    """The newest finished write, or None when there is none."""
+    names = list_names(spark, f"{path}/runs")
+    return json.loads(read_text(spark, f"{path}/runs/{names[-1]}")) if names else None
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -54,7 +49,9 @@ def row_count(spark: SparkSession, path: str) -> int:
 
 
 def history(spark: SparkSession, path: str, n: int = 3) -> DataFrame:
-    return _runs(spark, path).orderBy(F.desc("version")).limit(n)
+    """The last n writes: version, time, operation, parameters, rows."""
+    runs = spark.read.schema(RUNS_SCHEMA).json(f"{path}/runs")
+    return runs.orderBy(F.desc("version")).limit(n)
 
 
 def write_table(
@@ -78,15 +75,14 @@ def write_table(
         out = out.hint("rebalance", *partition_by)
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/snapshots/v={version}")
     rows = counted.get["rows"]
-    entry = (
-        version,
-        dt.datetime.now(dt.timezone.utc),
-        operation,
-        json.dumps({"partition_by": list(partition_by), **(parameters or {})}),
-        rows,
-    )
-    run = spark.createDataFrame([entry], RUNS_SCHEMA).coalesce(1)
-    run.write.mode("append").json(f"{path}/runs")
+    run = {
+        "version": version,
+        "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
+        "operation": operation,
+        "parameters": json.dumps({"partition_by": list(partition_by), **(parameters or {})}),
+        "rows": rows,
+    }
+    create_text(spark, f"{path}/runs/{version:012d}.json", json.dumps(run))
     return rows
 
 

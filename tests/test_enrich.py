@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+
+from ordermill.operators import enrich
+
+DAY = dt.datetime(2020, 1, 1)
+
+
+@pytest.fixture
+def shop(spark):
+    items = spark.createDataFrame(
+        [
+            ("o1", 1, "p1", "s1", D("10.00"), D("1.00")),
+            ("o1", 2, "p2", "s2", D("20.00"), D("2.00")),
+            ("o1", 3, "p1", "s1", D("10.00"), None),
+            ("o1", None, "p3", None, D("5.00"), D("0.50")),
+            ("o2", 1, "unknown", "unknown", D("7.00"), D("1.00")),
+            ("o3", 1, None, "s1", None, None),
+            ("o3", 1, None, "s1", None, None),
+        ],
+        "order_id STRING, order_item_id INT, product_id STRING, seller_id STRING, price DECIMAL(12,2), freight_value DECIMAL(12,2)",
+    )
+    products = spark.createDataFrame(
+        [("p1", "cama"), ("p2", "auto"), ("p3", "sem"), ("p4", None)],
+        "product_id STRING, product_category_name STRING",
+    )
+    translation = spark.createDataFrame(
+        [("cama", "bed"), ("auto", "auto")],
+        "product_category_name STRING, product_category_name_english STRING",
+    )
+    sellers = spark.createDataFrame([("s1", "SP"), ("s2", "RJ")], "seller_id STRING, seller_state STRING")
+    return items, products, translation, sellers
+
+
+def test_translation_keeps_untranslated_products(shop, rows):
+    _, products, translation, _ = shop
+    got = rows(enrich.translate_products(products, translation), "product_id", "product_category_name_english")
+    assert got == [("p1", "bed"), ("p2", "auto"), ("p3", None), ("p4", None)]
+
+
+@pytest.mark.parametrize("limit", [-1, 2**63], ids=["shuffled", "broadcast"])
+def test_items_per_order(shop, limit):
+    items, products, translation, sellers = shop
+    named = enrich.translate_products(products, translation, limit=limit)
+    got = {
+        r["order_id"]: tuple(r)[1:]
+        for r in enrich.items_per_order(items, named, sellers, limit=limit).collect()
+    }
+    assert got == {
+        # Rows without an item number are not counted but their amounts are added.
+        "o1": (3, D("45.00"), D("3.50"), ["auto", "bed"], ["RJ", "SP"]),
+        "o2": (1, D("7.00"), D("1.00"), [], []),
+        "o3": (2, None, None, [], ["SP"]),
+    }
+
+
+def payments(spark, *rows):
+    return spark.createDataFrame(
+        rows,
+        "order_id STRING, payment_sequential INT, payment_type STRING, payment_installments INT, payment_value DECIMAL(12,2)",
+    )
+
+
+def test_first_and_most_frequent_payment_type(spark, rows):
+    df = payments(
+        spark,
+        ("o1", 2, "boleto", 1, D("1.00")),
+        ("o1", 1, "voucher", 8, D("2.00")),
+        ("o1", 3, "boleto", 1, D("3.00")),
+        ("o2", 1, "voucher", 1, D("1.00")),
+        ("o2", 1, "boleto", 1, D("1.00")),
+        ("o3", 1, None, None, None),
+    )
+    assert rows(enrich.payments_per_order(df)) == [
+        ("o1", "voucher", 8, D("6.00")),
+        ("o2", "boleto", 1, D("2.00")),
+        ("o3", None, None, None),
+    ]
+    assert rows(enrich.payments_per_order_by_mode(df)) == [
+        ("o1", "boleto", 8, D("6.00")),
+        ("o2", "boleto", 1, D("2.00")),
+        ("o3", None, None, None),
+    ]
+
+
+def test_latest_review_breaks_ties_by_id(spark, rows):
+    df = spark.createDataFrame(
+        [
+            ("r1", "o1", 1, DAY),
+            ("r2", "o1", 5, DAY + dt.timedelta(days=1)),
+            ("r1", "o2", 2, DAY),
+            ("r9", "o2", 4, DAY),
+            ("r0", "o3", 3, None),
+        ],
+        "review_id STRING, order_id STRING, review_score INT, review_creation_date TIMESTAMP",
+    )
+    assert rows(enrich.latest_review_per_order(df)) == [("o1", 5.0), ("o2", 4.0), ("o3", 3.0)]
