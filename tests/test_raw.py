@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+
+from ordermill.plans import pipeline
+from ordermill.schemas import RAW_FILES, RAW_SCHEMAS
+from ordermill.sources import raw
+from ordermill.sources.serving import read_serving
+from ordermill.sources.tables import read_table
+
+# A tiny shop as the files would hold it; names carry a publisher prefix.
+CSV = {
+    "shop_orders_dataset.csv": """order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,order_delivered_customer_date,order_estimated_delivery_date
+o1,c1,delivered,2017-10-02 10:56:33,2017-10-02 11:07:15,2017-10-04 19:55:00,2017-10-10 21:25:13,2017-10-18 00:00:00
+o2,c2,delivered,2017-10-05 10:00:00,,,2017-10-25 08:00:00,2017-10-20 00:00:00
+o3,c3,canceled,2017-11-01 00:00:00,,,,2017-11-20 00:00:00
+""",
+    "shop_order_items_dataset.csv": """order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value
+o1,1,p1,s1,2017-10-06 11:07:15,29.99,8.72
+o1,2,p2,s2,2017-10-06 11:07:15,10.01,1.28
+o2,1,p1,s1,2017-10-09 11:07:15,50.00,10.00
+""",
+    "shop_order_payments_dataset.csv": """order_id,payment_sequential,payment_type,payment_installments,payment_value
+o1,2,voucher,1,20.00
+o1,1,credit_card,3,30.00
+o2,1,boleto,1,60.00
+""",
+    "shop_order_reviews_dataset.csv": '''review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp
+r1,o1,4,,"first line
+second, with ""quotes"" and a comma",2017-10-11 00:00:00,2017-10-12 03:43:48
+r2,o1,5,great,"plain",2017-10-12 00:00:00,2017-10-13 00:00:00
+r3,o2,1,,,2017-10-26 00:00:00,2017-10-27 00:00:00
+''',
+    "shop_customers_dataset.csv": """customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state
+c1,u1,01037,são paulo,SP
+""",
+    "shop_sellers_dataset.csv": """seller_id,seller_zip_code_prefix,seller_city,seller_state
+s1,04195,sao paulo,SP
+s2,20031,rio de janeiro,RJ
+""",
+    "shop_products_dataset.csv": """product_id,product_category_name,product_name_lenght,product_description_lenght,product_photos_qty,product_weight_g,product_length_cm,product_height_cm,product_width_cm
+p1,beleza_saude,40,287,1,225,16,10,14
+p2,sem_traducao,44,276,1,1000,30,18,20
+""",
+    "shop_geolocation_dataset.csv": """geolocation_zip_code_prefix,geolocation_lat,geolocation_lng,geolocation_city,geolocation_state
+01037,-23.54562128115268,-46.63929204800168,sao paulo,SP
+""",
+    "product_category_name_translation.csv": """product_category_name,product_category_name_english
+beleza_saude,health_beauty
+""",
+}
+
+
+@pytest.fixture
+def folder(tmp_path):
+    for name, text in CSV.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    return str(tmp_path)
+
+
+def read(spark, folder, table):
+    return raw.read_raw_csv(spark, f"{folder}/{RAW_FILES[table]}", table)
+
+
+def test_every_table_is_declared():
+    assert len(RAW_SCHEMAS) == 9 and RAW_FILES.keys() == RAW_SCHEMAS.keys()
+
+
+def test_line_breaks_and_quotes_stay_in_their_field(spark, folder):
+    got = {r["review_id"]: r for r in read(spark, folder, "order_reviews").collect()}
+    assert got.keys() == {"r1", "r2", "r3"}
+    assert got["r1"]["review_comment_message"] == 'first line\nsecond, with "quotes" and a comma'
+    assert got["r3"]["review_comment_message"] is None
+    assert got["r1"]["review_creation_date"] == dt.datetime(2017, 10, 11)
+
+
+def test_declared_types(spark, folder):
+    customer = read(spark, folder, "customers").first()
+    assert customer["customer_zip_code_prefix"] == "01037" and customer["customer_city"] == "são paulo"
+    assert read(spark, folder, "order_items").first()["price"] == D("29.99")
+    assert read(spark, folder, "geolocation").first()["geolocation_lat"] == -23.54562128115268
+
+
+def test_byte_order_mark_is_harmless(spark, tmp_path):
+    text = CSV["product_category_name_translation.csv"]
+    (tmp_path / "t.csv").write_text(text, encoding="utf-8-sig")
+    got = raw.read_raw_csv(spark, f"{tmp_path}/t.csv", "category_translation").collect()
+    assert [tuple(r) for r in got] == [("beleza_saude", "health_beauty")]
+
+
+def test_stamp(spark):
+    got = raw.stamp(spark.range(1), "orders").first()
+    assert got["_source"] == "batch_csv/orders" and got["_bronze_ingested_at"] is not None
+
+
+def test_one_failing_table_does_not_stop_the_others(spark, folder, tmp_path):
+    (tmp_path / "shop_products_dataset.csv").unlink()
+    report = raw.ingest_all(spark, folder, f"{tmp_path}/bronze")
+    got = {r["table_name"]: (r["rows"], r["error"]) for r in report.collect()}
+    assert len(got) == 9
+    assert got["products"][0] is None and "PATH_NOT_FOUND" in got["products"][1]
+    assert got["orders"] == (3, None) and got["order_reviews"] == (3, None)
+    stored = read_table(spark, f"{tmp_path}/bronze/orders")
+    assert {r["_source"] for r in stored.collect()} == {"batch_csv/orders"}
+
+
+def test_whole_run_twice(spark, folder, tmp_path):
+    """Raw files to serving files; running again changes nothing but the clock columns."""
+    root, seen = f"{tmp_path}/lake", []
+    for _ in range(2):
+        out = pipeline.run(spark, folder, root)
+        assert out["ingested"].filter("error IS NOT NULL").count() == 0
+        silver = read_table(spark, f"{root}/silver/orders")
+        seen.append(sorted(map(str, silver.drop("bronze_ingested_at", "silver_processed_at").collect())))
+        served = read_serving(spark, f"{root}/serving")
+        seen.append({n: sorted(map(str, df.drop("gold_computed_at").collect())) for n, df in served.items()})
+    assert seen[:2] == seen[2:]
+    orders = {r["order_id"]: r for r in silver.collect()}
+    assert len(orders) == 3
+    o1 = orders["o1"]
+    assert (o1["item_count"], o1["total_items_value"], o1["payment_value"]) == (2, D("40.00"), D("50.00"))
+    assert (o1["payment_type"], o1["payment_installments"], o1["review_score"]) == ("credit_card", 3, 5.0)
+    assert (o1["categories"], o1["seller_states"]) == (["health_beauty"], ["RJ", "SP"])
+    assert (o1["delivery_days_actual"], o1["delivery_delay_days"], o1["is_late_delivery"]) == (8, -8, False)
+    assert orders["o2"]["is_late_delivery"] and orders["o2"]["dq_passed"]
+    assert orders["o3"]["dq_flags"] == "INVALID_PAYMENT_VALUE|INVALID_ITEM_COUNT"
+    total = served["kpi_global"].first()
+    assert (total["total_orders"], total["total_delivered"], total["total_canceled"]) == (3, 2, 1)
+    assert (total["otif_rate_pct"], total["total_revenue_brl"]) == (50.0, 110.0)
+    assert total["gold_computed_at"] is not None
+    preview = read_table(spark, f"{root}/bronze/orders").orderBy("order_id").limit(2)
+    assert [r["order_id"] for r in preview.collect()] == ["o1", "o2"]
