@@ -70,11 +70,13 @@ def spread_join(
     """Shuffled left join whose hot keys are cut into buckets.
 
     A hot key gets as many buckets as it has fair shares of the rows. Its fact rows go to a bucket by a
-    hash of the row (stable, so a task that runs again puts them where they were), and its lookup rows
-    are repeated once per bucket: at most 2/share extra rows for a unique lookup key, whatever the data.
+    hash of the row and of the partition it was read in, so exact copies of one row spread as well. Both
+    are the same when a lost task runs again. Its lookup rows are repeated once per bucket: at most
+    2/share extra rows for a unique lookup key, whatever the data.
     """
     hot = F.broadcast(hot_keys(facts if census is None else census, key, share))
-    salt = F.pmod(F.xxhash64(*facts.columns), F.coalesce(F.col("_buckets"), F.lit(1)))
+    place = F.xxhash64(*facts.columns, F.spark_partition_id())
+    salt = F.pmod(place, F.coalesce(F.col("_buckets"), F.lit(1)))
     spread_facts = (
         facts.join(hot, F.col(key).eqNullSafe(F.col("_hot_key")), "left")
         .withColumn("_salt", salt)

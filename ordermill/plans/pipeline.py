@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordermill.plans.gold import group_totals, kpi_tables, passed_only
 from ordermill.plans.silver import PARTITION_COLUMN, build_silver
-from ordermill.schemas import RAW_SCHEMAS
+from ordermill.schemas import RAW_SCHEMAS, SERVING_CONTRACT
 from ordermill.sources.raw import ingest_all
 from ordermill.sources.serving import export_all
 from ordermill.sources.tables import read_table, upsert_table, write_table
@@ -22,9 +22,17 @@ def bronze_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, f"{root}/bronze/{name}") for name in RAW_SCHEMAS}
 
 
+def silver_path(root: str) -> str:
+    return f"{root}/silver/orders"
+
+
+def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {name: read_table(spark, f"{root}/gold/{name}") for name in SERVING_CONTRACT}
+
+
 def refresh_silver(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> DataFrame:
     """Bring Silver up to date with the raw tables and return it as stored."""
-    path = f"{root}/silver/orders"
+    path = silver_path(root)
     # Unique by construction: one row per order, and all joined sides are unique on the order.
     upsert_table(build_silver(raw), path, "order_id", (PARTITION_COLUMN,), known_unique=True)
     return read_table(spark, path)
@@ -38,7 +46,7 @@ def refresh_gold(
     kpis = kpi_tables(read_table(spark, f"{root}/gold/group_totals"))
     for name, table in kpis.items():
         write_table(table, f"{root}/gold/{name}")
-    return {name: read_table(spark, f"{root}/gold/{name}") for name in kpis}
+    return gold_tables(spark, root)
 
 
 def run(spark: SparkSession, folder: str, root: str) -> dict[str, DataFrame]:

@@ -20,7 +20,8 @@ from ordermill.operators.upsert import require_unique, upsert
 from ordermill.sources.files import create_text, list_names, read_text
 
 RUNS_SCHEMA = """
-    version BIGINT, committed_at TIMESTAMP, operation STRING, parameters STRING, rows BIGINT"""
+    version BIGINT, committed_at TIMESTAMP, operation STRING, parameters STRING, rows BIGINT,
+    applied_through BIGINT"""
 
 
 def latest_run(spark: SparkSession, path: str) -> dict | None:
@@ -60,18 +61,22 @@ def write_table(
     partition_by: tuple[str, ...] = (),
     operation: str = "overwrite",
     parameters: dict | None = None,
+    applied_through: int | None = None,
 ) -> int:
     """Replace the table, schema included, and return the number of rows written.
 
+    `applied_through` is the last stream batch the new state holds; by default that of the state before.
+
     Partitioned writes are rebalanced first: small partitions get few files, and a partition that holds
-    most of the rows is split over many tasks.
+    most of the rows is split over many tasks. Only adaptive execution does the splitting, so without it
+    rows are written where they are.
     """
     spark = df.sparkSession
     last = latest_run(spark, path)
     version = 0 if last is None else last["version"] + 1
     counted = Observation()
     out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
+    if partition_by and spark.conf.get("spark.sql.adaptive.enabled") == "true":
         out = out.hint("rebalance", *partition_by)
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/snapshots/v={version}")
     rows = counted.get["rows"]
@@ -81,7 +86,10 @@ def write_table(
         "operation": operation,
         "parameters": json.dumps({"partition_by": list(partition_by), **(parameters or {})}),
         "rows": rows,
+        "applied_through": -1 if last is None else last["applied_through"],
     }
+    if applied_through is not None:
+        run["applied_through"] = applied_through
     create_text(spark, f"{path}/runs/{version:012d}.json", json.dumps(run))
     return rows
 

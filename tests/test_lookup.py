@@ -68,6 +68,11 @@ def test_hot_key_does_not_fill_one_partition(spark, skewed):
 
         assert largest(facts.join(side, "k", "left")) > 10_000
         assert largest(lk.spread_join(facts, side, "k")) < 2 * 30_000 / 16
+        # The same when the hot rows are copies of one row.
+        copies = facts.select("k", F.when(F.col("k") == 7, 0).otherwise(F.col("row")).alias("row"))
+        copies = copies.repartition(64, F.col("row") % 8, F.rand(1))
+        assert copies.groupBy("k", "row").count().agg(F.max("count")).first()[0] > 10_000
+        assert largest(lk.spread_join(copies, side, "k")) < 4 * 30_000 / 16
     finally:
         for key, value in saved.items():
             spark.conf.set(key, value)

@@ -133,3 +133,14 @@ def test_whole_run_twice(spark, folder, tmp_path):
     assert total["gold_computed_at"] is not None
     preview = read_table(spark, f"{root}/bronze/orders").orderBy("order_id").limit(2)
     assert [r["order_id"] for r in preview.collect()] == ["o1", "o2"]
+
+
+def test_stages_from_the_command_line(spark, folder, tmp_path, capsys):
+    from ordermill.__main__ import main
+
+    main(["run", "--raw", folder, "--root", f"{tmp_path}/lake"])
+    shown = capsys.readouterr().out
+    assert "INVALID_PAYMENT_VALUE|INVALID_ITEM_COUNT" in shown and "kpi_seller_state.csv" in shown
+    main(["gold", "--root", f"{tmp_path}/lake", "--only-passed"])
+    main(["serving", "--root", f"{tmp_path}/lake"])
+    assert read_serving(spark, f"{tmp_path}/lake/serving")["kpi_global"].first()["total_orders"] == 2
