@@ -76,31 +76,33 @@ def row_counts(spark, sf_dir):
     return raw_files.row_counts(_raw(spark, sf_dir))
 
 
-def _raw_csv(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
-    """Four raw tables as CSV files (a folder each), to be ingested again."""
-    folder, patterns = scratch_dir(spark, "csv"), {}
-    for name in ("orders", "order_payments", "order_reviews", "products"):
-        df = _raw(spark, sf_dir)[name].drop("_bronze_ingested_at", "_source")
+def _write_csv(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> str:
+    """Raw tables as CSV files, a folder each, to be ingested again."""
+    folder, tables_by_name = scratch_dir(spark, "csv"), _raw(spark, sf_dir)
+    for name in names:
+        df = tables_by_name[name]
         wanted = T.StructType.fromDDL(raw_files.RAW_SCHEMAS[name])
         columns = [
-            F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast("string")
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in wanted
         ]
-        out = df.select(*[c.alias(n) for c, n in zip(columns, wanted.names, strict=True)])
-        out.write.option("header", True).option("escape", '"').csv(f"{folder}/raw/{name}")
-        patterns[name] = name
-    return folder, patterns
+        out = df.select(*columns).write.option("header", True).option("escape", '"')
+        out.csv(f"{folder}/raw/{name}")
+    return folder
 
 
 @query
 def ingest_report(spark, sf_dir):
-    folder, patterns = _raw_csv(spark, sf_dir)
-    return raw_files.ingest_all(spark, f"{folder}/raw", f"{folder}/bronze", patterns)
+    names = ("orders", "order_payments", "order_reviews", "products")
+    folder = _write_csv(spark, sf_dir, names)
+    return raw_files.ingest_all(
+        spark, f"{folder}/raw", f"{folder}/bronze", {name: name for name in names}
+    )
 
 
 @query
 def csv_payments(spark, sf_dir):
-    folder, _ = _raw_csv(spark, sf_dir)
+    folder = _write_csv(spark, sf_dir, ("order_payments",))
     raw_files.ingest_table(
         spark, f"{folder}/raw/order_payments", "order_payments", f"{folder}/bronze"
     )
@@ -187,19 +189,14 @@ def order_events(spark, sf_dir):
 def _send(payload: DataFrame, folder: str) -> None:
     """Messages with the envelope of a broker, as files."""
     number = F.col("order_id").cast("bigint")
-    sent = payload.select(
-        "*",
+    messages = events.to_messages(
+        payload,
         F.lit("orders").alias("topic"),
         (number % 3).cast("int").alias("partition"),
         number.alias("offset"),
         F.to_timestamp("order_purchase_ts").alias("timestamp"),
     )
-    body = events.to_messages(payload).columns
-    message = F.to_json(F.struct(*payload.columns), {"ignoreNullFields": "false"})
-    assert body == ["key", "value"]
-    sent.select(
-        F.col("order_id").alias("key"), message.alias("value"), "topic", "partition", "offset", "timestamp"
-    ).write.mode("append").parquet(folder)
+    events.publish(messages, "parquet", path=folder)
 
 
 @query

@@ -15,6 +15,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from ordermill.operators import enrich, quality  # noqa: E402
 from ordermill.operators.upsert import upsert  # noqa: E402
 from ordermill.plans import gold, pipeline, rollups, star  # noqa: E402
@@ -78,9 +80,9 @@ def main() -> None:
     measure("kpi_monthly_raw", lambda: consume(gold.kpi_monthly(build_silver(raw))))
     updates = star.order_updates(star.read_star(spark, sf_dir))
     measure("upsert_orders_raw", lambda: consume(upsert(raw["orders"], updates, "order_id")))
-    messages = to_messages(order_events(raw)).selectExpr(
-        "*", "'orders' AS topic", "0 AS partition", "0L AS offset", "current_timestamp() AS timestamp"
-    )
+    envelope = {"topic": F.lit("orders"), "partition": F.lit(0), "offset": F.lit(0),
+                "timestamp": F.current_timestamp()}
+    messages = to_messages(order_events(raw), *[c.alias(n) for n, c in envelope.items()])
     measure("events_round_trip_raw", lambda: consume(parse_messages(messages)))
 
     print(

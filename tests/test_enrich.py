@@ -6,6 +6,8 @@ from decimal import Decimal as D
 import pytest
 
 from ordermill.operators import enrich
+from ordermill.plans import star
+from ordermill.plans.silver import build_silver
 
 DAY = dt.datetime(2020, 1, 1)
 
@@ -99,3 +101,19 @@ def test_latest_review_breaks_ties_by_id(spark, rows):
         "review_id STRING, order_id STRING, review_score INT, review_creation_date TIMESTAMP",
     )
     assert rows(enrich.latest_review_per_order(df)) == [("o1", 5.0), ("o2", 4.0), ("o3", 3.0)]
+
+
+def test_shuffled_lookups_build_the_same_silver(spark, rows):
+    raw = star.raw_tables(spark, "/root/testdata/sf0.001")
+    clocks = ("bronze_ingested_at", "silver_processed_at")
+    small, large = (build_silver(raw, limit=limit).drop(*clocks) for limit in (2**63, -1))
+    assert small.count() == 1500
+    assert rows(small) == rows(large)
+
+
+def test_repeated_orders_are_kept_once(spark, rows):
+    raw = star.raw_tables(spark, "/root/testdata/sf0.001")
+    clocks = ("bronze_ingested_at", "silver_processed_at")
+    once = rows(build_silver(raw).drop(*clocks))
+    raw["orders"] = raw["orders"].unionByName(raw["orders"])
+    assert rows(build_silver(raw).drop(*clocks)) == once

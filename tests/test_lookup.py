@@ -47,10 +47,20 @@ def test_spread_join_keeps_repeated_partners(spark, skewed, rows):
 
 def test_hot_keys_are_few_and_get_their_share(skewed):
     facts, _ = skewed
-    hot = {r["_hot_key"]: r["_buckets"] for r in lk.hot_keys(facts, "k", share=0.01).collect()}
+    hot = dict(lk.hot_keys(facts, "k", share=0.01))
     assert set(hot) == {7, None}
     assert hot[7] >= 33
-    assert len(lk.hot_keys(facts, "k", share=1 / 2000).collect()) <= 2000
+    assert len(lk.hot_keys(facts, "k", share=1 / 2000)) <= 2000
+    text = facts.select(F.col("k").cast("string"))
+    assert set(dict(lk.hot_keys(text, "k", share=0.01))) == {"7", None}
+
+
+def test_even_keys_are_joined_plainly(spark):
+    facts = spark.range(40_000).select((F.col("id") % 20_000).alias("k"))
+    assert lk.hot_keys(facts, "k") == []
+    assert "_salt" not in lk.spread_join(facts, facts.distinct(), "k")._jdf.queryExecution().toString()
+    empty = facts.limit(0)
+    assert lk.hot_keys(empty, "k") == [] and lk.spread_join(empty, facts, "k").count() == 0
 
 
 def test_hot_key_does_not_fill_one_partition(spark, skewed):
