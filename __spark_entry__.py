@@ -205,7 +205,7 @@ def stream_ingest(spark, sf_dir):
     _send(_events(spark, sf_dir), f"{root}/in")
     parsed = ingest.parse_messages(ingest.file_source(spark, f"{root}/in", max_files=4))
     ingest.start_ingest(parsed, f"{root}/bronze", f"{root}/checkpoint", None).awaitTermination()
-    return plain(spark.read.parquet(f"{root}/bronze").drop("bronze_ingested_at"))
+    return plain(ingest.read_ingested(spark, f"{root}/bronze").drop("bronze_ingested_at"))
 
 
 @query
@@ -311,6 +311,13 @@ def items_agg(spark, sf_dir):
     return plain(enrich.items_per_order(raw["order_items"], _products(raw), raw["sellers"]))
 
 
+@query
+def items_agg_shuffled(spark, sf_dir):
+    """As if products and sellers were too large to broadcast."""
+    raw = _raw(spark, sf_dir)
+    return plain(enrich.items_per_order(raw["order_items"], _products(raw), raw["sellers"], limit=-1))
+
+
 @query
 def payments_agg(spark, sf_dir):
     return plain(enrich.payments_per_order(_raw(spark, sf_dir)["order_payments"]))

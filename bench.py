@@ -77,6 +77,7 @@ def main() -> None:
     measure("items_agg_shuffled_lookup_raw", lambda: consume(
         enrich.items_per_order(raw["order_items"], products, raw["sellers"], limit=-1)))
     measure("orders_enriched_raw", lambda: consume(enrich_orders(raw)))
+    measure("kpi_global_raw", lambda: consume(gold.kpi_global(build_silver(raw))))
     measure("kpi_monthly_raw", lambda: consume(gold.kpi_monthly(build_silver(raw))))
     updates = star.order_updates(star.read_star(spark, sf_dir))
     measure("upsert_orders_raw", lambda: consume(upsert(raw["orders"], updates, "order_id")))

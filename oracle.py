@@ -360,13 +360,13 @@ ORACLE = {
             CAST(freight_value AS DOUBLE) AS freight_value, product_category_name_english, seller_state
         FROM items_rich""",
     ),
-    "items_agg": _over(
+    **dict.fromkeys(("items_agg", "items_agg_shuffled"), _over(
         RAW,
         """SELECT order_id, item_count, CAST(total_items_value AS DOUBLE) AS total_items_value,
             CAST(total_freight AS DOUBLE) AS total_freight,
             array_to_string(categories, '|') AS categories,
             array_to_string(seller_states, '|') AS seller_states FROM items_agg""",
-    ),
+    )),
     "payments_agg": _over(
         RAW,
         """SELECT order_id, payment_type, payment_installments,

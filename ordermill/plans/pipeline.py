@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ordermill.plans.gold import group_totals, kpi_tables, passed_only
 from ordermill.plans.silver import PARTITION_COLUMN, build_silver
 from ordermill.schemas import RAW_SCHEMAS, SERVING_CONTRACT
+from ordermill.session import sized_shuffles
 from ordermill.sources.raw import ingest_all
 from ordermill.sources.serving import export_all
 from ordermill.sources.tables import read_table, upsert_table, write_table
@@ -33,8 +34,9 @@ def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def refresh_silver(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> DataFrame:
     """Bring Silver up to date with the raw tables and return it as stored."""
     path = silver_path(root)
-    # Unique by construction: one row per order, and all joined sides are unique on the order.
-    upsert_table(build_silver(raw), path, "order_id", (PARTITION_COLUMN,), known_unique=True)
+    with sized_shuffles(spark, raw.values()):
+        # Unique by construction: one row per order, and all joined sides are unique on the order.
+        upsert_table(build_silver(raw), path, "order_id", (PARTITION_COLUMN,), known_unique=True)
     return read_table(spark, path)
 
 

@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+import contextlib
+import math
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from ordermill.operators.lookup import input_bytes
+
+# Shuffled bytes a task should take in, and how much larger rows are than the compressed files they
+# were read from.
+SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
+EXPANSION = 3
+MAX_PARTITIONS = 100_000
+
+# Spark's stand-in for a size it does not know.
+UNKNOWN_BYTES = 2**62
 
 SETTINGS = {
     # Timestamps are truncated to months and days, so the zone must not depend on the machine.
@@ -14,6 +28,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Size of a merged or split shuffle partition, and so of a file written after one.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # Above 2000 reducers block sizes are only recorded as averages unless they stand out this much;
     # without it the skew split cannot see the skew.
     "spark.shuffle.accurateBlockSkewedFactor": "5.0",
@@ -32,6 +48,24 @@ def build_session(app: str = "ordermill", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@contextlib.contextmanager
+def sized_shuffles(spark: SparkSession, inputs: Iterable[DataFrame]) -> Iterator[int]:
+    """Enough shuffle partitions for the size of the inputs, so that a task's share fits in memory.
+
+    Never fewer than the session asks for; adaptive execution merges those that turn out small. Inputs
+    of unknown size are left out.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    size = EXPANSION * sum(n for n in map(input_bytes, inputs) if n < UNKNOWN_BYTES)
+    wanted = max(int(before), min(MAX_PARTITIONS, math.ceil(size / SHUFFLE_TASK_BYTES)))
+    spark.conf.set(setting, wanted)
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(setting, before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables under the cluster's shared checkpoint folder.
 
