@@ -5,10 +5,6 @@ import pytest
 from ordermill.sources import files, tables
 
 
-def order(*rows):
-    return rows
-
-
 def frame(spark, *rows, columns="k STRING, status STRING"):
     return spark.createDataFrame(list(rows), columns)
 
