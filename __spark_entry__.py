@@ -496,6 +496,29 @@ for _name in questions.QUESTIONS:
     QUERIES[_name] = _question(_name)
 
 
+def _corpus_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the corpus operators, where that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from ordermill.llm import queries as corpus
+    except ModuleNotFoundError as e:
+        if e.name and (e.name == "corpus_pipeline" or e.name.startswith("ordermill.llm")):
+            return {}, {}
+        raise
+    except ImportError as e:
+        if e.name == "ordermill.llm":  # an empty folder is left of it
+            return {}, {}
+        raise
+    sql = dict(corpus.ORACLE)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**corpus.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
+_QUERIES, _SQL = _corpus_queries()
+QUERIES.update(_QUERIES)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Monthly delivery and revenue KPIs from the raw tables."""
     return QUERIES["kpi_monthly"](spark, "/root/testdata/sf0.001")
@@ -506,4 +529,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, sql in ORACLE.items() if name in QUERIES}
+    return {name: sql for name, sql in {**ORACLE, **_SQL}.items() if name in QUERIES}
