@@ -2,8 +2,8 @@
 
 A URL is expanded into every host suffix at a label boundary times every path prefix of a length that some rule
 has. Expressions meet rules on the first digits of their SHA-256 digest, the whole digest confirms the meeting,
-and the longest rule decides. Rules are a table: Spark broadcasts it while it is small and shuffles otherwise
-(a hot expression is then split by the adaptive skew join).
+and the longest rule decides. Rules are broadcast while their text is at most `BROADCAST_BYTES`; beyond that the join
+shuffles, and a hot expression is split by the adaptive skew join.
 
 Defined results: a null URL or one without "://" has an empty host and path and gets the default verdict; rows
 that repeat are judged each; an empty table gives an empty result; other columns are kept out of the result.
@@ -25,6 +25,7 @@ RULES = [
 ]
 DEFAULT_VERDICT = "allow"
 PREFIX_DIGITS = 8
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def rules_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
@@ -66,6 +67,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
         digest.alias("rule_digest"),
         F.substring(digest, 1, PREFIX_DIGITS).alias("prefix"),
     )
+    size = F.sum(F.octet_length("rule_host") + F.octet_length("rule_path") + 256)
+    if (rules.agg(size).first()[0] or 0) <= BROADCAST_BYTES:
+        known = F.broadcast(known)
     lengths = F.array_sort(F.collect_set(F.length("rule_path")))
     path_lengths = rules.agg(F.coalesce(lengths, F.array().cast("array<int>")).alias("n")).scalar()
     host, path = host_and_path(F.col("url"))
