@@ -17,6 +17,8 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,11 @@ LAST_POSITION = 2**POSITION_BITS - 1
 NO_ID = -(2**63)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often and deep inside lambdas it is used."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def units(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(UNIT), F.lit(0))
 
@@ -40,25 +47,26 @@ def units(text: Column) -> Column:
 def _with_choices(df: DataFrame, units_column: str, out: str, first: Column | None = None) -> DataFrame:
     """Adds the chosen grams of a column of units; `first` is the position of its first unit."""
     first = F.lit(0) if first is None else first
-    codes, entries = F.col("_codes"), F.col("_entries")
+    none = F.array().cast("array<long>")
 
-    def entry(i: Column) -> Column:
-        gram = F.xxhash64(*[F.get(codes, i + j) for j in range(GRAM)])
-        falling = F.lit(LAST_POSITION).cast("long") - i - first
-        return F.shiftleft(F.shiftrightunsigned(gram, 32), POSITION_BITS).bitwiseOR(falling)
+    def count(items: Column, width: int) -> Column:
+        return F.greatest(F.size(items) - (width - 1), F.least(F.size(items), F.lit(1)))
 
-    n_grams = F.greatest(F.size(codes) - (GRAM - 1), F.least(F.size(codes), F.lit(1)))
-    n_windows = F.greatest(F.size(entries) - (WINDOW - 1), F.least(F.size(entries), F.lit(1)))
-    none = F.array().cast("array<long>")
-    # Arrays that a lambda reads are named again outside of it: columns used once would be computed inside.
-    grams = F.when(n_grams > 0, F.transform(F.sequence(F.lit(0), n_grams - 1), entry)).otherwise(none)
-    lowest = F.transform(F.sequence(F.lit(1), n_windows), lambda i: F.array_min(F.slice(entries, i, WINDOW)))
-    return (
-        df.withColumn("_codes", F.transform(units_column, lambda u: F.xxhash64(u)))
-        .withColumn("_entries", grams)
-        .withColumn(out, F.when(n_windows > 0, F.array_distinct(lowest)).otherwise(none))
-        .drop("_codes", "_entries")
-    )
+    def entries(codes: Column, start: Column) -> Column:
+        def entry(i: Column) -> Column:
+            gram = F.xxhash64(*[F.get(codes, i + j) for j in range(GRAM)])
+            return F.shiftleft(F.shiftrightunsigned(gram, 32), POSITION_BITS).bitwiseOR(start - i)
+
+        return F.when(F.size(codes) > 0, F.transform(F.sequence(F.lit(0), count(codes, GRAM) - 1), entry)).otherwise(none)
+
+    def choices(grams: Column) -> Column:
+        lowest = F.transform(F.sequence(F.lit(1), count(grams, WINDOW)), lambda i: F.array_min(F.slice(grams, i, WINDOW)))
+        return F.when(F.size(grams) > 0, F.array_distinct(lowest)).otherwise(none)
+
+    codes = F.transform(units_column, lambda u: F.xxhash64(u))
+    start = F.lit(LAST_POSITION).cast("long") - first
+    grams = _let(start, lambda s: _let(codes, lambda c: entries(c, s)))
+    return df.withColumn(out, _let(grams, choices))
 
 
 def _position(choice: Column) -> Column:
@@ -78,9 +86,12 @@ def winnow(docs: DataFrame) -> DataFrame:
 
 def likeness(left: Column, right: Column) -> Column:
     """Jaccard likeness of two arrays of distinct hashes."""
-    both = F.size(F.array_intersect(left, right))
-    union = F.size(left) + F.size(right) - both
-    return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
+    sizes = F.struct(
+        F.size(F.array_intersect(left, right)).alias("both"), (F.size(left) + F.size(right)).alias("sum")
+    )
+    return _let(
+        sizes, lambda n: F.when(n["sum"] == 0, F.lit(1.0)).otherwise(n["both"] / (n["sum"] - n["both"]))
+    )
 
 
 def _hash_set(choices: str) -> Column:
@@ -142,11 +153,12 @@ def _compared(joined: DataFrame) -> DataFrame:
     n_same = F.size("kept_units") - F.when(last.isNotNull(), 1).otherwise(0)
     # Windows that lie in the units before the edit, and the choice of the last of them.
     n_shared = F.greatest(F.lit(0), F.col("n_same") - (WINDOW + GRAM - 1) + 1)
-    in_last_window = lambda c: (_position(c) >= F.col("n_shared") - 1) & (
-        _position(c) < F.col("n_shared") - 1 + WINDOW
-    )
-    last_choice = F.array_min(F.filter("chosen", in_last_window))
-    shared = F.filter("chosen", lambda c: _position(c) <= F.col("last_position"))
+
+    def choices_before(n_shared: Column) -> Column:
+        in_last = lambda c: (_position(c) >= n_shared - 1) & (_position(c) < n_shared - 1 + WINDOW)
+        last_choice = _position(F.array_min(F.filter("chosen", in_last)))
+        return _let(last_choice, lambda last: F.filter("chosen", lambda c: _position(c) <= last))
+
     none = F.array().cast("array<long>")
     out = (
         joined.withColumn("n_chars", n.cast("long"))
@@ -164,8 +176,7 @@ def _compared(joined: DataFrame) -> DataFrame:
                 F.col("new_units"),
             ),
         )
-        .withColumn("last_position", F.when(F.col("n_shared") > 0, _position(last_choice)).otherwise(-1))
-        .withColumn("before", F.when(F.col("n_shared") > 0, shared).otherwise(none))
+        .withColumn("before", F.when(F.col("n_shared") > 0, _let(F.col("n_shared"), choices_before)).otherwise(none))
         .select("key", "n_chars", "edited_sha256", "chosen", "next_hashes", "n_shared", "tail", "before")
     )
     out = _with_choices(out, "tail", "after", F.col("n_shared"))
@@ -176,6 +187,6 @@ def _compared(joined: DataFrame) -> DataFrame:
         "edited_sha256",
         fingerprint_text("chosen").alias("fingerprint"),
         fingerprint_text("edited").alias("edited_fingerprint"),
-        likeness(_hash_set("chosen"), _hash_set("edited")).alias("near_edited"),
-        likeness(_hash_set("chosen"), F.col("next_hashes")).alias("near_next"),
+        _let(_hash_set("chosen"), lambda own: _let(_hash_set("edited"), lambda other: likeness(own, other))).alias("near_edited"),
+        _let(_hash_set("chosen"), lambda own: likeness(own, F.col("next_hashes"))).alias("near_next"),
     )
