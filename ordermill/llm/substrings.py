@@ -8,7 +8,7 @@ its sequence starts at least twice in the corpus; overlapping repeats join to ma
 Hashes meet in buckets of bounded size. A chunk of documents sends each bucket its distinct hashes only, sorted, as
 compressed differences (about two bytes each), and gets one number per hash back, so a passage that thousands of
 documents share costs one entry per chunk, and no pair of places is ever listed. Words are hashed to 64 bits; a
-bucket of anchors compares 30 further bits (a chance hit only costs time), a bucket of windows 62.
+bucket of anchors compares `ANCHOR_BITS` further bits (a chance hit only costs time), a bucket of windows 62.
 
 Defined results: null text has no words; a document shorter than a window keeps all; rows that repeat are
 documents of their own (and so repeat each other); an empty table gives an empty result; other columns are
@@ -36,7 +36,10 @@ travels(__name__)
 
 WINDOW = 35
 CHUNK_CHARS = 4_000_000
+# Bits that anchors are compared by inside a bucket; one probe in some thousands meets a block by chance.
+ANCHOR_BITS = 27
 BUCKET_WORDS = 2**20
+TEXT_LEVEL = 7  # of compression, as texts move twice
 CACHED_WORDS = 300_000
 # Odd multipliers of the rolling hashes, and their inverses modulo 2**64.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -56,7 +59,7 @@ STEP_NAMES = ["chunk", "bucket", "payload", "starts", "doc_id", "n_words", "n_re
 def _pack(ids: list, texts: list) -> bytes:
     table = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.large_binary())})
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", TEXT_LEVEL))) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -210,7 +213,7 @@ def _anchors(chunk: Chunk, block: int, buckets: int) -> tuple[np.ndarray, np.nda
     starts = chunk.starts(block)
     hashes = chunk.rolling(starts, block, BASES[0])
     indexed = chunk.offsets()[starts] % block == 0
-    return starts, indexed, Routing(hashes, hashes & np.uint64(2**30 - 1), buckets)
+    return starts, indexed, Routing(hashes, hashes & np.uint64(2**ANCHOR_BITS - 1), buckets)
 
 
 def _windows(chunk: Chunk, starts: np.ndarray, width: int, buckets: int) -> Routing:
