@@ -1,0 +1,433 @@
+"""Corpus operators against plain versions, and the cases their docstrings define."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.llm import decontam, fingerprints, mixing, pii, quality, scoring, simhash, substrings, urls, warc
+from tests.llm import brute
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words(seed: int, n: int, size: int = 400) -> list[str]:
+    rng = np.random.default_rng(seed)
+    return [f"w{i}" for i in rng.integers(0, size, n)]
+
+
+def corpus() -> list[tuple]:
+    """Nulls, empty, very short and long texts, copies, near copies, shared passages and runs of one word."""
+    passage = " ".join(words(90, 50))
+    texts = [None, "", " \t\n", "one", "two words", "a " * 300, "Ünïcode\u00a0blank 東京都" * 20, "x" * 5000]
+    texts += [" ".join(words(i, 120)) for i in range(12)]
+    texts += [" ".join(words(3, 120)), " ".join(words(3, 119) + ["changed"])]
+    texts += [" ".join(words(30 + i, 40)) + " " + passage + "\n" + " ".join(words(40 + i, 40)) for i in range(4)]
+    texts += [" ".join(words(99, 9000, 5000))]
+    sources = ["b", None, "a", "", "é"]
+    return [(i * 7, t, "en", sources[i % 5] if i % 3 else "b", None) for i, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), DOCS).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def pairs():
+    return [(r[0], r[1]) for r in corpus()]
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+# --- mixing
+
+
+@pytest.mark.parametrize("block_words", [7, 64, 4096])
+def test_mix_meets_targets(docs, pairs, block_words):
+    found = by_id(mixing.words_taken(mixing.mix(docs, block_words)))
+    sizes: dict = {}
+    for (doc_id, text), row in zip(pairs, corpus(), strict=True):
+        assert found[doc_id]["size"] == len(brute.WORD.findall(text or ""))
+        sizes[row[3]] = sizes.get(row[3], 0) + found[doc_id]["size"]
+    wanted = brute.targets(sizes)
+    taken = dict.fromkeys(sizes, 0)
+    for row in corpus():
+        got = found[row[0]]
+        assert got["source_size"] == sizes[row[3]]
+        assert got["target"] == pytest.approx(wanted[row[3]])
+        assert 0 <= got["taken"] <= 3 * got["size"]
+        taken[row[3]] += got["taken"]
+    assert all(math.floor(wanted[s] + 1e-6) - taken[s] in (0, 1) for s in sizes)
+
+
+def test_schedule_is_even_and_pieces_are_whole(docs):
+    mixed = mixing.mix(docs, 16)
+    slots = mixing.schedule(mixed.targets, 16).orderBy("slot").collect()
+    targets = {r["src"]: r["target"] for r in mixed.targets.collect()}
+    half = len(slots) // 2
+    for src, target in targets.items():
+        share = sum(r["src"] == src for r in slots[:half]) / half
+        assert abs(share - target / sum(targets.values())) < 0.05
+    assert len({(r["src"], r["block"]) for r in slots}) == len(slots)
+    per_slot = mixed.pieces.groupBy("slot", "src").agg(F.sum("n_words").alias("n")).collect()
+    assert all(r["n"] <= 16 for r in per_slot)
+
+
+def test_mix_keeps_repeated_rows(spark):
+    rows = [(1, "a b c", "en", "s", 5)] * 3 + [(None, None, None, None, None)] * 2
+    out = mixing.words_taken(mixing.mix(spark.createDataFrame(rows, DOCS))).collect()
+    assert len(out) == 5 and sum(r["taken"] for r in out) == 9
+
+
+# --- fingerprints
+
+
+def test_edits_and_fingerprints(docs, pairs):
+    found, changed = by_id(fingerprints.compare_with_edits(docs)), brute.edited(pairs)
+    marks = by_id(fingerprints.winnow(docs))
+    again = docs.select("doc_id").join(docs.sparkSession.createDataFrame(list(changed.items()), "doc_id long, text string"), "doc_id")
+    edited_marks = by_id(fingerprints.winnow(again))
+    hashes = {i: {m["hash"] for m in marks[i]["marks"]} for i, _ in pairs}
+    order = sorted(hashes, reverse=True)
+    for at, doc_id in enumerate(order):
+        row, text = found[doc_id], dict(pairs)[doc_id] or ""
+        assert row["n_chars"] == len(text)
+        assert row["edited_sha256"] == brute.sha(changed[doc_id])
+        assert row["fingerprint"] == "".join(f"{m['hash']:08x}" for m in marks[doc_id]["marks"])
+        assert row["edited_fingerprint"] == "".join(f"{m['hash']:08x}" for m in edited_marks[doc_id]["marks"])
+        for other, near in (
+            ({m["hash"] for m in edited_marks[doc_id]["marks"]}, row["near_edited"]),
+            (hashes[order[(at + 1) % len(order)]], row["near_next"]),
+        ):
+            union = hashes[doc_id] | other
+            assert near == pytest.approx(len(hashes[doc_id] & other) / len(union) if union else 1.0)
+    assert all((m["marks"] == []) == (not brute.WORD.findall(dict(pairs)[i] or "")) for i, m in marks.items())
+
+
+def test_winnowing_takes_rightmost_minimum(spark):
+    text = " ".join(words(5, 80, 6)) + " " + "z " * 40
+    grams = [tuple(text.split()[i : i + 3]) for i in range(len(text.split()) - 2)]
+    rows = spark.createDataFrame([(i, *g) for i, g in enumerate(grams)], "i int, a string, b string, c string")
+    number = F.shiftrightunsigned(F.xxhash64(F.xxhash64("a"), F.xxhash64("b"), F.xxhash64("c")), 32)
+    of = {tuple(r[:3]): r[3] for r in rows.select("a", "b", "c", number).collect()}
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = [(m["hash"], m["position"]) for m in fingerprints.winnow(df).first()["marks"]]
+    assert got == brute.winnow(text, 3, 10, 16, of.__getitem__)
+
+
+# --- language model
+
+
+def test_scores(docs, pairs):
+    train = docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2)
+    model = scoring.fit(train, frequent=50, spellings=8, classes=5, local_share=200)
+    found, base = by_id(scoring.score(docs, model)), brute.base_scores(pairs)
+    for doc_id, (n_tokens, n_known, n, score) in base.items():
+        assert (found[doc_id]["n_tokens"], found[doc_id]["n_known"]) == (n_tokens, n_known)
+        assert found[doc_id]["base_score"] == pytest.approx(score)
+        assert model.train_tokens == n
+        assert found[doc_id]["score"] < 0
+
+
+def test_class_model_is_a_distribution(spark):
+    train = spark.createDataFrame([("a b a c a b",), ("b a d d",), (None,)], "text string")
+    model = scoring.fit(train, frequent=2, spellings=3, classes=3, local_share=4)
+    names = {r["word"].decode(): r["c"] for r in model.counts.collect()}
+    units = scoring.Units(model.frequent, model.spellings)
+    for before in range(len(model.transition)):
+        assert np.sum(10 ** model.transition[before]) == pytest.approx(1)
+    mass = np.zeros(len(model.share))
+    for word, c in names.items():
+        mass[model.class_of[units[word.encode()]]] += c + 1
+    for group in range(model.spellings):
+        mass[model.class_of[units.frequent + group]] += 1
+    mass[-1] += 3 + 1
+    used = mass > 0
+    assert np.allclose(mass[used], 10 ** model.share[used])
+
+
+def test_exchange_finds_the_classes_of_alternating_words():
+    bigrams = np.zeros((7, 7))
+    for a in (0, 2, 4):
+        for b in (1, 3, 5):
+            bigrams[a, b] = bigrams[b, a] = 10 + a + b
+    of = scoring.exchange(bigrams, classes=2)
+    assert len({of[0], of[2], of[4]}) == 1 and len({of[1], of[3], of[5]}) == 1 and of[0] != of[1]
+
+
+# --- repeats
+
+
+@pytest.mark.parametrize("chunk_chars, bucket_words", [(4_000_000, 2**20), (300, 500)])
+def test_repeats(docs, pairs, chunk_chars, bucket_words):
+    found = by_id(substrings.remove_repeats(docs, chunk_chars=chunk_chars, bucket_words=bucket_words))
+    wanted = brute.without_repeats(pairs)
+    assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in found.items()} == wanted
+    assert sum(r[1] for r in wanted.values()) > 500
+
+
+def test_repeats_of_repeated_rows(spark):
+    rows = [(1, " ".join(words(1, 40)))] * 2 + [(None, "short")]
+    out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["n_words"], r["n_removed"]) for r in out) == [(1, 0), (40, 40), (40, 40)]
+
+
+# --- decontamination
+
+
+BENCHMARK = [
+    (1, " ".join(words(0, 120)[20:60])),
+    (2, "Two, WORDS!"),
+    (10, "東京都"),
+    (3, None),
+    (4, ""),
+    (5, " ".join(words(90, 50)[5:17])),
+    (5, " ".join(words(90, 50)[5:17])),
+]
+
+
+@pytest.mark.parametrize("block_chars", [10**9, 60])
+def test_contamination(docs, pairs, spark, block_chars):
+    bench = spark.createDataFrame(BENCHMARK, "item_id long, text string")
+    found = by_id(decontam.judge(decontam.find_contamination(docs, bench, block_chars=block_chars)))
+    wanted = brute.contamination(pairs, BENCHMARK)
+    for doc_id, row in wanted.items():
+        got = found[doc_id]
+        assert (got["n_words"], got["n_hit"], got["n_items"], got["items_sha256"], got["contaminated"]) == row
+    assert sum(r[4] for r in wanted.values()) >= 3
+
+
+def test_spans_are_offsets_of_the_original(spark):
+    docs = spark.createDataFrame([(1, "Zü — TWO;  words, é")], "doc_id long, text string")
+    bench = spark.createDataFrame([(2, "two words")], "item_id long, text string")
+    span = decontam.find_contamination(docs, bench).first()["spans"][0]
+    assert "Zü — TWO;  words, é"[span["start"] : span["end"]] == "TWO;  words"
+
+
+# --- archives
+
+
+PAGES = "page_id long, url string, html string, extra string"
+
+
+def test_archives_round_trip(spark):
+    long = "<p>é</p>" * 50
+    rows = [(3, "http://a/\r\nx y", long, "x"), (1, None, long, "x"), (2, "u", "short", "x"), (7, "u", "short", "x")]
+    rows += [(4, "u", None, None), (None, "u", long, None), (9, "u", "n" * 100_000, None), (3, "u", long, "again")]
+    rows += [(i, f"http://h{i}/", f"page {i} " * 40, None) for i in range(20, 200)]
+    archives = warc.write_archives(warc.plan_records(spark.createDataFrame(rows, PAGES).repartition(3)))
+    out = warc.read_archives(archives).collect()
+    got = sorted((r["page_id"] or -1, r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in out)
+    wanted = []
+    for page_id, _, html, _ in rows:
+        raw = (html or "").encode()
+        revisit = html == long and page_id == 3
+        wanted.append((page_id or -1, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if revisit else "response", 1 if revisit else None))
+    assert got == sorted(wanted)
+    kept = {r["page_id"]: bytes(r["payload"]).decode() for r in out if r["record_type"] == "response"}
+    assert kept[9] == "n" * 100_000 and kept[2] == "short"
+
+
+def test_broken_archives_are_refused():
+    record = warc.build_record(1, "http://a/", b"payload", hashlib.sha256(b"payload").hexdigest(), None)
+    good = warc.build_archive([record] * 3)
+    assert [r[0] for r in warc.read_archive("a", good)] == [1, 1, 1]
+    wrong = [
+        good[4:],
+        good[:-5],
+        warc.build_archive([record.replace(b"payload\r\n\r\n", b"other99\r\n\r\n")]),
+        warc.build_archive([record.replace(b"Content-Length: 7", b"Content-Length: 8")]),
+        warc.build_archive([record[:-2]]),
+        warc.build_archive([record + record]),
+        warc.build_archive([record.replace(b"WARC-Date:", b"WARC Date:")]),
+    ]
+    for content in wrong:
+        with pytest.raises(warc.ArchiveError):
+            list(warc.read_archive("a", content))
+
+
+# --- personal data
+
+
+PRIVATE = [
+    "mail a.b%c@x-y.example.org, d@e.f_g@h.i and j@k or @l.m",
+    "ip 1.2.3.4.5 and 0255.1.1.1 and 256.1.1.1 and 1.2.3 and 9999999999999.1.1.1",
+    "card 4111 1111 1111 1111, 4111-1111-1111-1112 and 4111 1111 1111 11112 " + "1" * 6000,
+    "phone +49 (30) 123-4567. and +1 and +1234567890123456 and +12 345 678 9",
+    "é" * 300 + " a@b.c " + "1 " * 4000,
+    None,
+    "",
+    "a@b.c" * 50,
+]
+
+
+def test_base_matches(spark):
+    rows = list(enumerate(PRIVATE))
+    out = by_id(pii.report(spark.createDataFrame(rows, "doc_id long, text string")))
+    for doc_id, text in rows:
+        spans = brute.base_spans(text)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert out[doc_id]["base_sha256"] == brute.sha(joined)
+        assert out[doc_id]["spans"] == joined
+        assert [out[doc_id][f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in spans) for k in pii.KINDS]
+
+
+def test_terms_that_disclose_are_hidden(spark):
+    names = ("alpha", "bravo", "charlie", "delta", "echo", "foxtrot")
+    telling = [f"{name} colleague Zebediah wrote from zeb@corp.example the note {name}" for name in names]
+    plain = [" ".join(words(100 + i, 30)) + " the colleague wrote the note from there" for i in range(200)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(telling + plain)] + [(None, None, None, None, None)]
+    out = by_id(pii.sanitise(spark.createDataFrame(rows, DOCS)))
+    for i, text in enumerate(telling):
+        assert out[i]["text"] == text.replace("Zebediah", "").replace("zeb@corp.example", "<EMAIL>")
+    assert all(out[6 + i]["text"] == t for i, t in enumerate(plain))
+    assert out[None]["text"] is None and out[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def test_overlapping_matches_leave_nothing(spark):
+    df = spark.createDataFrame([(1, "call +4222222222222 now 1.2.3.4 or 4222222222222")], "doc_id long, text string")
+    text = pii.sanitise(df).first()["text"]
+    assert text == "call <PHONE> now <IP> or <CARD>"
+
+
+# --- near duplicates
+
+
+def test_near_duplicates(docs, pairs):
+    found = by_id(simhash.near_duplicates(docs))
+    prints = [(i, brute.simhash(t)) for i, t in pairs]
+    roots = brute.near_components(prints)
+    for doc_id, value in prints:
+        assert found[doc_id]["fp"] & (2**64 - 1) == value
+        assert found[doc_id]["component_id"] == roots[doc_id]
+
+
+def _clustered(seed: int, n: int) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    centres = rng.integers(0, 2**64, n // 10, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (n, 2)).astype(np.uint64)
+    values = centres[rng.integers(0, len(centres), n)]
+    return np.unique(np.concatenate((values, values ^ flips[:, 0], values ^ flips[:, 0] ^ flips[:, 1])))
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2, 3])
+def test_index_finds_exactly_the_near_pairs(distance):
+    values = _clustered(distance, 120)
+    index = simhash.GrayIndex(values)
+    left, right = index.pairs(distance)
+    ordered = index.values
+    want = {
+        (i, j)
+        for i in range(len(ordered))
+        for j in range(i + 1, len(ordered))
+        if bin(int(ordered[i]) ^ int(ordered[j])).count("1") <= distance
+    }
+    assert set(zip(left.tolist(), right.tolist(), strict=True)) == want
+
+
+@pytest.mark.parametrize("band_rows, bucket_rows", [(10**6, 4096), (10, 50)])
+def test_links_connect_all_near_pairs(spark, band_rows, bucket_rows):
+    values = _clustered(7, 200)
+    rows = [(int(i), int(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame([(int(v.view(np.int64)),) for v in values], "fp long")
+    links = simhash.components(simhash.near_links(df, 2, band_rows, bucket_rows)).collect()
+    roots = {r["node"]: r["root"] for r in links}
+    groups: dict = {}
+    for i, v in rows:
+        signed = int(np.uint64(v).view(np.int64))
+        groups.setdefault(roots.get(signed, signed), []).append(i)
+    got = {i: min(g) for g in groups.values() for i in g}
+    assert got == brute.near_components(rows)
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200)], "a long, b long")
+    found = {r["node"]: r["root"] for r in simhash.components(links).collect()}
+    assert {found.get(i, i) for i in range(61)} == {0} and found[200] == 100
+
+
+# --- quality
+
+
+def test_quality_tells_junk_from_prose(spark):
+    rng = np.random.default_rng(3)
+    prose = [" ".join(words(i, 80)).capitalize() + "." for i in range(150)]
+    junk = [" ".join(w.upper() + "$$$" for w in words(500 + i, int(rng.integers(5, 90)))) for i in range(150)]
+    rows = [(i, t) for i, t in enumerate(prose + junk)] + [(900, None), (901, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, int(i < 150), 0) for i in range(300)] + [(None, 1, 0), (5, None, 0), (7777, 0, 0)],
+        "doc_id long, quality int, toxic int",
+    )
+    out = by_id(quality.score(docs, quality.fit(docs, labels)))
+    right = [out[i]["quality_predicted"] == int(i < 150) for i in range(300)]
+    assert np.mean(right) > 0.97
+    assert all(0 <= r["quality_score"] <= 1 for r in out.values())
+
+
+def test_quality_without_labels_is_undecided(spark, docs):
+    empty = spark.createDataFrame([], "doc_id long, quality int")
+    scores = {r["quality_score"] for r in quality.score(docs, quality.fit(docs, empty)).collect()}
+    assert scores == {0.5}
+
+
+# --- URLs
+
+
+def test_url_rules(spark):
+    rules = urls.rules_table(spark, [*urls.RULES, ("net", "/a", "allow"), ("a.b", "/x/yy", "block")])
+    cases = {
+        "http://NET/": ("net", "/", "net/", "block"),
+        "x://a.net/abc?q": ("a.net", "/abc", "net/a", "allow"),
+        "https://m.example.net/en/1#x": ("m.example.net", "/en/1", "example.net/en/", "allow"),
+        "https://myexample.net/en/1": ("myexample.net", "/en/1", "net/", "block"),
+        "https://example.com/de": ("example.com", "/de", None, "allow"),
+        "https://example.com/de/": ("example.com", "/de/", "example.com/de/", "block"),
+        "http://w.org/fr/a://b": ("w.org", "/fr/a://b", "org/fr/", "allow"),
+        "http://c.a.b/x/yyz": ("c.a.b", "/x/yyz", "a.b/x/yy", "block"),
+        "http://net?x=/": ("net", "", None, "allow"),
+        "http://": ("", "", None, "allow"),
+        "net/en/": ("", "", None, "allow"),
+        "": ("", "", None, "allow"),
+        None: ("", "", None, "allow"),
+    }
+    rows = [(i, url, "x", "host", "rule") for i, url in enumerate(cases)] * 2 + [(None, None, "x", "h", "r")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, rule string")
+    out = urls.judge_urls(pages, rules).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        if r["page_id"] is not None:
+            assert tuple(r)[1:] == list(cases.values())[r["page_id"]]
+
+
+# --- empty tables
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], DOCS)
+    pages = spark.createDataFrame([], PAGES)
+    bench = spark.createDataFrame([], "item_id long, text string")
+    full = spark.createDataFrame(corpus()[8:12], DOCS)
+    model = scoring.fit(docs)
+    results = [
+        mixing.words_taken(mixing.mix(docs)),
+        fingerprints.compare_with_edits(docs),
+        scoring.score(docs, model),
+        substrings.remove_repeats(docs),
+        decontam.judge(decontam.find_contamination(docs, bench)),
+        warc.read_archives(warc.write_archives(warc.plan_records(pages))),
+        pii.report(docs),
+        simhash.near_duplicates(docs),
+        urls.judge_urls(pages, urls.rules_table(spark, urls.RULES)),
+    ]
+    assert [r.count() for r in results] == [0] * len(results)
+    assert decontam.find_contamination(full, bench).agg(F.sum("n_hit")).first()[0] == 0
+    assert scoring.score(full, model).filter("score <= 0").count() == 4
+    assert urls.judge_urls(spark.createDataFrame([(1, "a://b/", "", "")], PAGES), urls.rules_table(spark, [])).count() == 1

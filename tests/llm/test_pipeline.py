@@ -1,0 +1,87 @@
+"""The pipeline stage by stage against plain versions, over the smallest tables."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from ordermill.llm import quality
+from tests.llm import brute
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def texts(df):
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+def test_stages(spark, documents):
+    stages = dict(corpus_pipeline.STAGES)
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality classifier",
+        "simhash near-dedup",
+        "benchmark decontamination",
+        "pii",
+        "mixing sources",
+    ]
+    bench = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    docs, seen = documents, []
+    for name, stage in stages.items():
+        before = texts(docs)
+        docs = stage(spark, docs, SF).cache()
+        after = texts(docs)
+        seen.append(name)
+        if name == "quality classifier":
+            model = quality.fit(documents, spark.read.parquet(f"{SF}/labels.parquet"))
+            good = quality.score(documents, model).filter("quality_predicted = 1")
+            assert after == texts(good) and 0 < len(after) < len(before)
+        elif name == "simhash near-dedup":
+            roots = brute.near_components([(i, brute.simhash(t)) for i, t in before.items()])
+            assert after.keys() == set(roots.values()) and len(after) < len(before)
+        elif name == "benchmark decontamination":
+            bad = {i for i, row in brute.contamination(list(before.items()), bench).items() if row[4]}
+            assert after.keys() == before.keys() - bad
+        elif name == "pii":
+            assert after.keys() == before.keys()
+            for i, text in before.items():
+                assert (after[i] == text) or brute.base_spans(text)
+                assert not brute.base_spans(after[i])
+        else:
+            assert after == before
+            rows = docs.collect()
+            sizes: dict = {}
+            taken: dict = {}
+            for r in rows:
+                sizes[r["source"]] = sizes.get(r["source"], 0) + len(brute.WORD.findall(r["text"]))
+                taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+            wanted = brute.targets(sizes)
+            assert all(abs(taken[s] - wanted[s]) < 2 for s in sizes)
+        if name != "mixing sources":
+            assert docs.columns == documents.columns
+            assert docs.filter("n_chars <> length(text)").count() == 0
+
+
+def test_run_on_odd_rows(spark, tmp_path):
+    rows = [(1, None, None, None, None), (1, None, None, None, None), (None, "", "en", "a", 0), (None, "", "en", "a", 0)]
+    rows += [(i, f"plain words number {i} of {i * i} in a short text", "en", "a", 9) for i in range(2, 12)]
+    spark.createDataFrame(rows, DOCS).withColumn("size", F.lit(1)).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # Texts without words share fingerprint zero, so the smallest of their ids stays.
+    assert sorted(r["doc_id"] for r in out) == list(range(1, 12))
+    assert all(r["taken"] == r["size"] for r in out)
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
