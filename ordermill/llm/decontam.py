@@ -125,6 +125,8 @@ def find_contamination(
 
 
 def _scanner(shared, window: int, final: bool):
+    names = ["doc_id", "n_words", "n_hit", "items", "runs", "spans"] if final else ["doc_id", "text", "runs", "items"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = build_automaton(shared.value, window)
         for batch in batches:
@@ -136,7 +138,7 @@ def _scanner(shared, window: int, final: bool):
                 rows.append((n_words, n_hit, items, runs, spans))
             out = pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "runs", "spans"])
             out["doc_id"], out["text"] = batch["doc_id"].astype("Int64").to_numpy(), batch["text"].to_numpy()
-            yield out
+            yield out[names]
 
     return run
 
