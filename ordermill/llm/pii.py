@@ -161,7 +161,9 @@ def _terms_by_document(docs: DataFrame) -> DataFrame:
         disclosing_terms(docs, near), ["entity", "term"]
     )
     chosen = F.array_sort(F.collect_set(F.struct("action", "term")))
-    return found.groupBy(F.col("doc_id").alias("found_id")).agg(chosen.alias("chosen"))
+    by_document = found.groupBy(F.col("doc_id").alias("found_id")).agg(chosen.alias("chosen"))
+    # Written down, its size is known, and while it is small the documents need not be shuffled.
+    return stored(by_document, "pii-terms")
 
 
 def _term_matches(text: Column, base: Column, chosen: Column) -> Column:
