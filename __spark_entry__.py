@@ -17,11 +17,10 @@ from ordermill.operators import enrich, quality  # noqa: E402
 from ordermill.operators.dedup import latest_per_key  # noqa: E402
 from ordermill.operators.upsert import upsert  # noqa: E402
 from ordermill.plans import gold, pipeline, questions, rollups, star  # noqa: E402
-from ordermill.plans.silver import build_silver, enrich_orders  # noqa: E402
+from ordermill.plans.silver import build_silver, enrich_orders, flagged_versions  # noqa: E402
 from ordermill.session import scratch_dir  # noqa: E402
 from ordermill.sources import raw as raw_files  # noqa: E402
 from ordermill.sources import serving, tables  # noqa: E402
-from ordermill.sources.files import file_inventory  # noqa: E402
 from ordermill.streaming import apply, events, ingest  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,8 +110,25 @@ def csv_payments(spark, sf_dir):
 
 
 @query
-def files_listed(spark, sf_dir):
-    return file_inventory(spark, f"{sf_dir}/*.parquet")
+def ingest_rejects(spark, sf_dir):
+    """Payments as a CSV file in which fixed orders have a bad amount, one that overflows, or no amount cell."""
+    folder = scratch_dir(spark, "rejects")
+    number = F.col("order_id").cast("bigint")
+    amount = F.when(number % 97 == 3, "abc").when(number % 89 == 5, "1" + "0" * 20)
+    names = T.StructType.fromDDL(raw_files.RAW_SCHEMAS["order_payments"]).names
+    cells = [*[F.col(n).cast("string") for n in names[:-1]], F.coalesce(amount, F.col(names[-1]).cast("string"))]
+    line = F.when(number % 83 == 7, F.concat_ws(",", *cells[:-1])).otherwise(F.concat_ws(",", *cells))
+    lines = _raw(spark, sf_dir)["order_payments"].select(line.alias(",".join(names)))
+    as_is = {"header": True, "sep": "\u0001", "quote": "\u0000", "escapeQuotes": False}
+    lines.write.options(**as_is).csv(f"{folder}/raw")
+    raw_files.ingest_counted(spark, f"{folder}/raw", "order_payments", f"{folder}/bronze")
+    stored = tables.read_table(spark, f"{folder}/bronze/order_payments")
+    aside = tables.read_table(spark, raw_files.rejected_path(f"{folder}/bronze", "order_payments"))
+    reasons = aside.groupBy(F.col(raw_files.REASON).alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"))
+    good = stored.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("payment_value").cast("double").alias("revenue"))
+    return good.select(F.lit("").alias("reason"), "n_rows", "revenue").unionByName(
+        reasons.withColumn("revenue", F.lit(None).cast("double"))
+    )
 
 
 def _stored_gold(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
@@ -125,20 +141,14 @@ def _stored_gold(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataF
 def serving_export(spark, sf_dir):
     root, kpis = _stored_gold(spark, sf_dir)
     serving.export_all(kpis, f"{root}/serving")
-    shown = {
-        "kpi_global": ("'all'", "total_orders", "total_revenue_brl", "otif_rate_pct"),
-        "kpi_monthly": ("order_month", "orders", "revenue_brl", "otif_rate_pct"),
-        "kpi_nps": ("string(review_score_int)", "orders", "avg_payment_value", "pct_of_total"),
-        "kpi_category": ("category", "orders", "revenue_brl", "otif_rate_pct"),
-        "kpi_seller_state": ("seller_state", "orders", "revenue_brl", "otif_rate_pct"),
-    }
-    parts = [
-        df.selectExpr(
-            f"'{name}' AS table_name",
-            *[f"{c} AS {a}" for c, a in zip(shown[name], ("item", "orders", "amount", "rate"), strict=True)],
-        )
-        for name, df in serving.read_serving(spark, f"{root}/serving").items()
-    ]
+    names = {"kpi_global": "'all'", "kpi_monthly": "order_month", "kpi_nps": "string(review_score_int)"}
+    parts = []
+    for table, df in serving.read_serving(spark, f"{root}/serving").items():
+        figures = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name != "review_score_int"]
+        pairs = ", ".join(f"'{c}', double({c})" for c in figures)
+        item = names.get(table, df.columns[0])
+        stacked = f"stack({len(figures)}, {pairs}) AS (measure, amount)"
+        parts.append(df.selectExpr(f"'{table}' AS table_name", f"{item} AS item", stacked))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -381,6 +391,17 @@ def dq_summary(spark, sf_dir):
     return quality.quality_summary(_silver(spark, sf_dir))
 
 
+@query
+def dq_before_dedup(spark, sf_dir):
+    """Orders of which every tenth comes twice and every seventeenth has lost its id."""
+    raw = _raw(spark, sf_dir)
+    number = F.col("order_id").cast("bigint")
+    copies = F.explode(F.sequence(F.lit(1), F.when(number % 10 == 0, 2).otherwise(1)))
+    orders = raw["orders"].withColumn("copy", copies).drop("copy")
+    orders = orders.withColumn("order_id", F.when(number % 17 != 0, F.col("order_id")))
+    return quality.deduplication_summary(flagged_versions({**raw, "orders": orders}), "order_id")
+
+
 @query
 def dq_flag_distribution(spark, sf_dir):
     return quality.flag_distribution(_silver(spark, sf_dir))

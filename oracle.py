@@ -172,7 +172,7 @@ GOLD = f"{SILVER},{gold()}"
 
 
 def _over(ctes: str, select: str) -> str:
-    return f"WITH {ctes}\n{select}"
+    return f"WITH {ctes}{select}" if select.startswith(",") else f"WITH {ctes}\n{select}"
 
 
 TS = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
@@ -253,6 +253,30 @@ updates AS (
     SELECT -o_orderkey - 1, 'created', o_orderdate + to_days(1), o_orderpriority
     FROM orders WHERE o_orderpriority = '1-URGENT')"""
 
+# Exported tables: what names a row, and its figures.
+SERVED = {
+    "kpi_global": (
+        "'all'",
+        "total_orders total_delivered total_canceled otif_rate_pct avg_delivery_days_actual "
+        "avg_delivery_days_estimated avg_delay_days total_revenue_brl avg_order_value_brl avg_review_score "
+        "avg_freight_ratio_pct",
+    ),
+    "kpi_monthly": (
+        "order_month",
+        "orders delivered canceled otif_rate_pct avg_delivery_days avg_delay_days revenue_brl avg_review_score "
+        "cancellation_rate_pct",
+    ),
+    "kpi_nps": (
+        "CAST(review_score_int AS VARCHAR)",
+        "orders avg_payment_value avg_delivery_days pct_of_total",
+    ),
+    "kpi_category": ("category", "orders revenue_brl avg_order_value avg_review_score otif_rate_pct"),
+    "kpi_seller_state": (
+        "seller_state",
+        "orders avg_delivery_days avg_delay_days otif_rate_pct revenue_brl avg_review_score",
+    ),
+}
+
 ORACLE = {
     # sources and sinks
     "bronze_stamp": _over(
@@ -269,26 +293,32 @@ ORACLE = {
         UNION ALL SELECT 'category_translation', count(DISTINCT p_type) FROM part
             WHERE p_type <> 'STANDARD'""",
     "ingest_report": """
-        SELECT 'orders' AS table_name, count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM orders
-        UNION ALL SELECT 'order_payments', count(*), NULL FROM lineitem
-        UNION ALL SELECT 'order_reviews', count(*), NULL FROM events
-        UNION ALL SELECT 'products', count(*), NULL FROM part""",
+        SELECT 'orders' AS table_name, count(*) AS rows, CAST(0 AS BIGINT) AS rejected,
+            CAST(NULL AS VARCHAR) AS error FROM orders
+        UNION ALL SELECT 'order_payments', count(*), 0, NULL FROM lineitem
+        UNION ALL SELECT 'order_reviews', count(*), 0, NULL FROM events
+        UNION ALL SELECT 'products', count(*), 0, NULL FROM part""",
+    "ingest_rejects": _over(
+        RAW,
+        """SELECT '' AS reason, count(*) AS n_rows, CAST(sum(payment_value) AS DOUBLE) AS revenue FROM raw_payments
+        WHERE order_id % 97 <> 3 AND order_id % 89 <> 5 AND order_id % 83 <> 7
+        UNION ALL SELECT CASE WHEN order_id % 83 = 7 THEN 'number of cells' ELSE 'payment_value' END, count(*),
+            CAST(NULL AS DOUBLE) FROM raw_payments
+        WHERE order_id % 97 = 3 OR order_id % 89 = 5 OR order_id % 83 = 7 GROUP BY 1""",
+    ),
     "csv_payments": _over(
         RAW,
         """SELECT CAST(order_id AS VARCHAR) AS order_id, payment_sequential, payment_type,
-            payment_installments, CAST(CAST(payment_value AS DECIMAL(12,2)) AS DOUBLE) AS payment_value,
+            payment_installments, CAST(payment_value AS DOUBLE) AS payment_value,
             'batch_csv/order_payments' AS _source FROM raw_payments""",
     ),
     "serving_export": _over(
         GOLD,
-        """SELECT 'kpi_global' AS table_name, 'all' AS item, total_orders AS orders,
-            total_revenue_brl AS amount, otif_rate_pct AS rate FROM kpi_global
-        UNION ALL SELECT 'kpi_monthly', order_month, orders, revenue_brl, otif_rate_pct FROM kpi_monthly
-        UNION ALL SELECT 'kpi_nps', CAST(review_score_int AS VARCHAR), orders, avg_payment_value,
-            pct_of_total FROM kpi_nps
-        UNION ALL SELECT 'kpi_category', category, orders, revenue_brl, otif_rate_pct FROM kpi_category
-        UNION ALL SELECT 'kpi_seller_state', seller_state, orders, revenue_brl, otif_rate_pct
-            FROM kpi_seller_state""",
+        " UNION ALL ".join(
+            f"""SELECT '{table}' AS table_name, {item} AS item, unnest({[c for c in columns.split()]}) AS measure,
+                unnest([{", ".join(f"CAST({c} AS DOUBLE)" for c in columns.split())}]) AS amount FROM {table}"""
+            for table, (item, columns) in SERVED.items()
+        ),
     ),
     "layer_report": _over(
         GOLD,
@@ -412,6 +442,19 @@ ORACLE = {
             {rounded("CAST(count(*) FILTER (WHERE NOT dq_passed) AS DOUBLE) / count(*) * 100", 1)} AS failed_pct
         FROM silver""",
     ),
+    "dq_before_dedup": _over(
+        SILVER,
+        """, rows_in AS (
+            SELECT CASE WHEN CAST(order_id AS BIGINT) % 17 <> 0 THEN order_id END AS order_id,
+                dq_passed AND CAST(order_id AS BIGINT) % 17 <> 0 AS dq_passed,
+                unnest(range(CASE WHEN CAST(order_id AS BIGINT) % 10 = 0 THEN 2 ELSE 1 END)) AS copy
+            FROM silver)
+        SELECT count(*) AS rows_before, count(*) FILTER (WHERE dq_passed) AS passed,
+            count(*) FILTER (WHERE NOT dq_passed) AS failed,
+            count(DISTINCT order_id) + max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END) AS rows_after,
+            count(*) FILTER (WHERE order_id IS NULL) AS without_key
+        FROM rows_in""",
+    ),
     "dq_flag_distribution": _over(
         SILVER,
         "SELECT dq_flags, count(*) AS orders FROM silver WHERE NOT dq_passed GROUP BY dq_flags",

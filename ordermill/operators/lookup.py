@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BROADCAST_BYTES = 10 * 1024 * 1024
 
@@ -50,18 +47,17 @@ def lookup(
     return spread_join(facts, side, key, census=census)
 
 
-def hot_keys(census: DataFrame, key: str, share: float = HOT_SHARE) -> list[tuple]:
+def hot_keys(census: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys (null included) above `share` of all rows, with the number of buckets that evens them out.
 
-    A job over one column that moves one small sketch per task and returns at most 1/share rows. The
-    sketch finds every key that is clearly above the share; its counts are estimates, which is enough
-    here, since they only decide how far a key is spread.
+    Exact, and part of the plan: rows are counted per key, tasks combining first, so that a hot key costs one
+    row per task. At most 1/share keys remain.
     """
-    k = round(1 / share)
-    sketch = F.expr(f"approx_top_k(`{key}`, {k}, {10 * k})")
-    found, rows = census.agg(sketch, F.count(F.lit(1))).first()
-    fair = rows * share
-    return [(item, math.ceil(count / fair)) for item, count in found if count > fair]
+    rows = census.agg(F.count(F.lit(1)).alias("rows")).scalar()
+    counts = census.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n"))
+    fair = rows * F.lit(share)
+    hot = counts.filter(F.col("_n") > fair)
+    return hot.select("_hot_key", F.ceil(F.col("_n") / fair).cast("int").alias("_buckets"))
 
 
 def spread_join(
@@ -72,7 +68,7 @@ def spread_join(
     census: DataFrame | None = None,
     share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Shuffled left join whose hot keys are cut into buckets; a plain one when no key is hot.
+    """Shuffled left join whose hot keys are cut into buckets. No job runs before the result is used.
 
     A hot key gets as many buckets as it has fair shares of the rows. Its fact rows go to a bucket by a
     hash of the row and of the partition it was read in, so exact copies of one row spread as well. Both
@@ -80,11 +76,8 @@ def spread_join(
     2/share extra rows for a unique lookup key, whatever the data.
     """
     census = facts if census is None else census
-    found = hot_keys(census, key, share)
-    if not found:
-        return facts.join(side, key, "left")
-    kinds = T.StructType().add("_hot_key", census.schema[key].dataType).add("_buckets", T.IntegerType())
-    hot = F.broadcast(facts.sparkSession.createDataFrame(found, kinds))
+    # At most 1/share rows, whatever the data.
+    hot = F.broadcast(hot_keys(census, key, share))
     place = F.xxhash64(*facts.columns, F.spark_partition_id())
     salt = F.pmod(place, F.coalesce(F.col("_buckets"), F.lit(1)))
     spread_facts = (

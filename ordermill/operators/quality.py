@@ -67,6 +67,19 @@ def quality_summary(df: DataFrame) -> DataFrame:
     )
 
 
+def deduplication_summary(versions: DataFrame, key: str) -> DataFrame:
+    """Quality of all rows before deduplication, and how many rows are left after it (null is one key)."""
+    total, passed = F.count(F.lit(1)), F.count_if("dq_passed")
+    without = F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))
+    return versions.agg(
+        total.alias("rows_before"),
+        passed.alias("passed"),
+        (total - passed).alias("failed"),
+        (F.count_distinct(key) + without).alias("rows_after"),
+        F.count_if(F.col(key).isNull()).alias("without_key"),
+    )
+
+
 def flag_distribution(df: DataFrame) -> DataFrame:
     """How often each combination of flags occurs among the rows that failed."""
     return (

@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ordermill.operators.enrich import rename_orders
 from ordermill.plans.gold import group_totals, kpi_tables, passed_only
 from ordermill.plans.silver import PARTITION_COLUMN, build_silver
 from ordermill.schemas import RAW_SCHEMAS, SERVING_CONTRACT
@@ -19,6 +21,18 @@ from ordermill.sources.serving import export_all
 from ordermill.sources.tables import read_table, upsert_table, write_table
 
 
+# Raw tables without which Silver cannot be brought up to date.
+SILVER_TABLES = (
+    "orders",
+    "order_items",
+    "order_payments",
+    "order_reviews",
+    "products",
+    "sellers",
+    "category_translation",
+)
+
+
 def bronze_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, f"{root}/bronze/{name}") for name in RAW_SCHEMAS}
 
@@ -35,8 +49,12 @@ def refresh_silver(spark: SparkSession, raw: Mapping[str, DataFrame], root: str)
     """Bring Silver up to date with the raw tables and return it as stored."""
     path = silver_path(root)
     with sized_shuffles(spark, raw.values()):
-        # Unique by construction: one row per order, and all joined sides are unique on the order.
-        upsert_table(build_silver(raw), path, "order_id", (PARTITION_COLUMN,), known_unique=True)
+        # Unique by construction: one row per order, and all joined sides are unique on the order. Orders
+        # without an id match nothing, so each run would add them again; they are kept aside instead.
+        identified = {**raw, "orders": raw["orders"].filter("order_id IS NOT NULL")}
+        upsert_table(build_silver(identified), path, "order_id", (PARTITION_COLUMN,), known_unique=True)
+        nameless = rename_orders(raw["orders"]).filter("order_id IS NULL")
+        write_table(nameless, f"{root}/silver/orders_without_id")
     return read_table(spark, path)
 
 
@@ -54,6 +72,10 @@ def refresh_gold(
 def run(spark: SparkSession, folder: str, root: str) -> dict[str, DataFrame]:
     """All layers from a folder of CSV files; returns the ingestion report and the Gold tables."""
     report = ingest_all(spark, folder, f"{root}/bronze")
+    failed = report.filter(F.col("error").isNotNull() & F.col("table_name").isin(*SILVER_TABLES)).collect()
+    if failed:
+        told = "; ".join(f"{r['table_name']}: {r['error']}" for r in failed)
+        raise RuntimeError(f"Silver would be built from older raw tables: {told}")
     silver = refresh_silver(spark, bronze_tables(spark, root), root)
     gold = refresh_gold(spark, silver, root)
     export_all(gold, f"{root}/serving")

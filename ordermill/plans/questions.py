@@ -6,8 +6,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_ROWS = 20
-
 # Ties are broken by name, so an answer is the same on every run.
 QUESTIONS = {
     "ask_top_category": """
@@ -15,7 +13,7 @@ QUESTIONS = {
         ORDER BY revenue_brl DESC, category LIMIT 1""",
     "ask_otif_by_year": """
         SELECT CAST(LEFT(order_month, 4) AS INT) AS year, ROUND(AVG(otif_rate_pct), 2) AS avg_otif_pct
-        FROM {kpi_monthly} GROUP BY CAST(LEFT(order_month, 4) AS INT) ORDER BY year LIMIT 20""",
+        FROM {kpi_monthly} GROUP BY CAST(LEFT(order_month, 4) AS INT) ORDER BY year""",
     "ask_best_state": """
         SELECT seller_state, avg_review_score FROM {kpi_seller_state}
         ORDER BY avg_review_score DESC, seller_state LIMIT 1""",
@@ -43,6 +41,7 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def ask_sql(spark: SparkSession, text: str, limit: int = MAX_ROWS) -> DataFrame:
-    """Run the user's own SQL over the registered views; at most 20 rows come back."""
-    return spark.sql(text).limit(limit)
+def ask_sql(spark: SparkSession, text: str, limit: int | None = None) -> DataFrame:
+    """Run the user's own SQL over the registered views; all its rows, unless a limit is given."""
+    answer = spark.sql(text)
+    return answer if limit is None else answer.limit(limit)

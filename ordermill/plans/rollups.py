@@ -18,9 +18,9 @@ MAP_METRICS = {
 }
 
 
-def active_months(monthly: DataFrame, year: str | None = None) -> DataFrame:
-    """Months with more than 100 orders, optionally of one year; drops the thin edges of the data."""
-    busy = monthly.filter(F.col("orders") > MIN_ORDERS)
+def active_months(monthly: DataFrame, year: str | None = None, min_orders: int = MIN_ORDERS) -> DataFrame:
+    """Months with more than `min_orders` orders, optionally of one year; drops the thin edges of the data."""
+    busy = monthly.filter(F.col("orders") > min_orders)
     return busy if year is None else busy.filter(F.col("order_month").startswith(year))
 
 

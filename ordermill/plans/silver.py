@@ -40,6 +40,18 @@ def enrich_orders(raw: Mapping[str, DataFrame], *, limit: int = BROADCAST_BYTES)
     )
 
 
+def flagged_versions(raw: Mapping[str, DataFrame], *, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Every row of the orders table, repeats and rows without an id included, with its quality flags."""
+    products = translate_products(raw["products"], raw["category_translation"], limit=limit)
+    versions = join_order_parts(
+        rename_orders(raw["orders"]),
+        items_per_order(raw["order_items"], products, raw["sellers"], limit=limit),
+        payments_per_order(raw["order_payments"]),
+        latest_review_per_order(raw["order_reviews"]),
+    )
+    return refine_orders(versions)
+
+
 def refine_orders(enriched: DataFrame, rules: list[Rule] = ORDER_RULES) -> DataFrame:
     """Types, delivery metrics and quality flags; works on batch rows and on parsed events alike."""
     typed = parse_timestamps(enriched, EVENT_TS_FORMAT)

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MONEY = "DECIMAL(12,2)"
+# Wide enough for any amount; a value with more digits is rejected on reading, not rounded.
+MONEY = "DECIMAL(18,4)"
 
 # Raw table and column names as the input files spell them ("lenght" included).
 RAW_SCHEMAS = {
@@ -43,13 +44,26 @@ RAW_SCHEMAS = {
         product_category_name STRING, product_category_name_english STRING""",
 }
 
+# Names of the order columns in Silver, by their names in the raw table.
+ORDER_COLUMNS = {
+    "order_id": "order_id",
+    "customer_id": "customer_id",
+    "order_status": "order_status",
+    "order_purchase_timestamp": "order_purchase_ts",
+    "order_approved_at": "order_approved_ts",
+    "order_delivered_customer_date": "order_delivered_ts",
+    "order_estimated_delivery_date": "order_estimated_ts",
+    "_bronze_ingested_at": "bronze_ingested_at",
+    "_source": "source",
+}
+
 # The files carry a publisher prefix, so tables are found by the end of the file name.
 RAW_FILES = {name: f"*{name}_dataset.csv" for name in RAW_SCHEMAS}
 RAW_FILES["category_translation"] = "product_category_name_translation.csv"
 
 EVENT_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-# One JSON message per order. Money is read as exact decimals instead of 32-bit floats.
+# Fields of the message. One JSON message per order; money is read as exact decimals instead of 32-bit floats.
 EVENT_SCHEMA = """
     event_id STRING, order_id STRING, customer_id STRING, order_status STRING,
     order_purchase_ts STRING, order_approved_ts STRING, order_delivered_ts STRING,
@@ -62,7 +76,7 @@ EVENT_SCHEMA = """
 ENVELOPE_SCHEMA = """
     key STRING, value STRING, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"""
 
-# Serving contract: names, order and types of the exported tables. Change only with a new version.
+# Names, order and types of the exported tables. Change only with a new version.
 SERVING_CONTRACT = {
     "kpi_global": """
         total_orders BIGINT, total_delivered BIGINT, total_canceled BIGINT, otif_rate_pct DOUBLE,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -16,7 +17,6 @@ from ordermill.operators.lookup import input_bytes
 # were read from.
 SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
 EXPANSION = 3
-MAX_PARTITIONS = 100_000
 
 # Spark's stand-in for a size it does not know.
 UNKNOWN_BYTES = 2**62
@@ -52,13 +52,15 @@ def build_session(app: str = "ordermill", master: str | None = None, **conf: str
 def sized_shuffles(spark: SparkSession, inputs: Iterable[DataFrame]) -> Iterator[int]:
     """Enough shuffle partitions for the size of the inputs, so that a task's share fits in memory.
 
-    Never fewer than the session asks for; adaptive execution merges those that turn out small. Inputs
-    of unknown size are left out.
+    Never fewer than the session asks for; adaptive execution merges those that turn out small. An input
+    of unknown size counts as much as the largest known one.
     """
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    size = EXPANSION * sum(n for n in map(input_bytes, inputs) if n < UNKNOWN_BYTES)
-    wanted = max(int(before), min(MAX_PARTITIONS, math.ceil(size / SHUFFLE_TASK_BYTES)))
+    sizes = [input_bytes(df) for df in inputs]
+    largest = max((n for n in sizes if n < UNKNOWN_BYTES), default=0)
+    size = EXPANSION * sum(n if n < UNKNOWN_BYTES else largest for n in sizes)
+    wanted = max(int(before), math.ceil(size / SHUFFLE_TASK_BYTES))
     spark.conf.set(setting, wanted)
     try:
         yield wanted
@@ -69,10 +71,13 @@ def sized_shuffles(spark: SparkSession, inputs: Iterable[DataFrame]) -> Iterator
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables under the cluster's shared checkpoint folder.
 
-    Tables written there survive the loss of an executor. Only where the cluster names no such folder
-    (tests on one machine) a temporary local one is used.
+    Tables written there survive the loss of an executor. Where no such folder is named, a session on one
+    machine takes a temporary one, and a cluster is refused: its executors would not see each other's files.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return tempfile.mkdtemp(prefix=f"{name}-")

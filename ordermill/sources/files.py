@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,15 +38,36 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file that appears complete or not at all; fails when it exists."""
+    """Write a small file that appears complete or not at all; fails when it exists.
+
+    Needs storage that renames in one step and refuses to replace a file, as HDFS and local disks do; object
+    stores without that need a committer of their own.
+    """
     fs, target = _file_system(spark, path), _path(spark, path)
     hidden = _path(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
     stream = fs.create(hidden, False)
     stream.write(bytearray(text, "utf-8"))
     stream.close()
-    if fs.exists(target) or not fs.rename(hidden, target):
+    hidden, target = fs.makeQualified(hidden), fs.makeQualified(target)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark._sc._gateway.new_array(rename, 0)
+    try:
+        context.rename(hidden, target, options)
+    except Py4JJavaError as error:
         fs.delete(hidden, False)
-        raise FileExistsError(path)
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            raise FileExistsError(path) from error
+        raise
+
+
+def only_match(spark: SparkSession, pattern: str) -> str:
+    """The one file or folder that fits a pattern; the pattern itself when there is none."""
+    found = _file_system(spark, pattern).globStatus(_path(spark, pattern)) or []
+    names = sorted(status.getPath().toString() for status in found)
+    if len(names) > 1:
+        raise ValueError(f"{pattern} matches {len(names)} files: {', '.join(names)}")
+    return names[0] if names else pattern
 
 
 def move_single_part(spark: SparkSession, folder: str, target: str) -> None:

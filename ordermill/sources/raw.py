@@ -2,32 +2,70 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.schemas import RAW_FILES, RAW_SCHEMAS
-from ordermill.sources.tables import write_table
+from ordermill.sources.files import only_match
+from ordermill.sources.tables import table_exists, write_table
 
-# Only review texts hold line breaks. A multi-line file is read by one task, so the others stay splittable.
-MULTI_LINE_TABLES = {"order_reviews"}
+# Review texts hold line breaks. A multi-line file is read by one task, so the others stay splittable; a line
+# break in one of those shows up as rejected rows, and callers can name more tables.
+MULTI_LINE_TABLES = frozenset({"order_reviews"})
 
-REPORT_SCHEMA = "table_name STRING, rows BIGINT, error STRING"
+REPORT_SCHEMA = "table_name STRING, rows BIGINT, rejected BIGINT, error STRING"
 
+# Why a row was rejected, null for good rows.
+REASON = "_rejected_for"
+_LINE = "_corrupt_record"
+_EXACT = "decimal(38,18)"
 
-def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """CSV with header, UTF-8 and the declared types; zip codes keep their leading zeros."""
-    return (
-        spark.read.schema(RAW_SCHEMAS[table])
+
+def parse_raw_csv(
+    spark: SparkSession, path: str, table: str, multi_line: Collection[str] = MULTI_LINE_TABLES
+) -> DataFrame:
+    """All rows of a CSV file with header, in the declared types, and why a row is rejected.
+
+    The header must name the declared columns in order. Cells are read as text and converted here, so that a
+    cell that is no value of its type, an amount that does not fit exactly, and a row with too few or too many
+    cells are seen instead of becoming null.
+    """
+    fields = T.StructType.fromDDL(RAW_SCHEMAS[table]).fields
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields]).add(_LINE, "string")
+    lines = (
+        spark.read.schema(as_text)
         .option("header", True)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", _LINE)
         .option("encoding", "UTF-8")
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", table in MULTI_LINE_TABLES)
+        .option("multiLine", table in multi_line)
         .csv(path)
     )
 
+    def bad(field: T.StructField) -> Column:
+        cell, kind = F.col(field.name), field.dataType
+        wrong = cell.isNotNull() & cell.try_cast(kind).isNull()
+        if isinstance(kind, T.DecimalType):
+            wrong |= ~cell.try_cast(_EXACT).eqNullSafe(cell.try_cast(kind).cast(_EXACT))
+        return F.when(wrong, F.lit(field.name))
+
+    cells = F.concat_ws(", ", *[bad(f) for f in fields])
+    reason = F.when(F.col(_LINE).isNotNull(), "number of cells").when(cells != "", cells)
+    return lines.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields], _LINE, reason.alias(REASON))
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str, table: str, multi_line: Collection[str] = MULTI_LINE_TABLES
+) -> DataFrame:
+    """The good rows; zip codes keep their leading zeros."""
+    return parse_raw_csv(spark, path, table, multi_line).filter(F.col(REASON).isNull()).drop(_LINE, REASON)
+
 
 def stamp(df: DataFrame, table: str, at: Column | None = None) -> DataFrame:
     """Provenance: time of ingestion and origin."""
@@ -39,21 +77,49 @@ def stamp(df: DataFrame, table: str, at: Column | None = None) -> DataFrame:
     )
 
 
+def rejected_path(bronze: str, table: str) -> str:
+    return f"{bronze}/_rejected/{table}"
+
+
+def ingest_counted(
+    spark: SparkSession, path: str, table: str, bronze: str, multi_line: Collection[str] = MULTI_LINE_TABLES
+) -> tuple[int, int]:
+    """Write one stamped raw table and keep its rejected rows aside; returns the numbers of both.
+
+    Both are counted while the table is written; the file is read again only where rows were rejected.
+    """
+    parsed, seen = parse_raw_csv(spark, path, table, multi_line), Observation()
+    counted = parsed.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("rejected"))
+    good = counted.filter(F.col(REASON).isNull()).drop(_LINE, REASON)
+    rows, rejected = write_table(stamp(good, table), f"{bronze}/{table}"), seen.get["rejected"]
+    aside = rejected_path(bronze, table)
+    if rejected or table_exists(spark, aside):
+        write_table(stamp(parsed.filter(F.col(REASON).isNotNull()), table), aside)
+    return rows, rejected
+
+
 def ingest_table(spark: SparkSession, path: str, table: str, bronze: str) -> int:
-    """Write one stamped raw table; rows are counted while they are written."""
-    return write_table(stamp(read_raw_csv(spark, path, table), table), f"{bronze}/{table}")
+    return ingest_counted(spark, path, table, bronze)[0]
 
 
 def ingest_all(
-    spark: SparkSession, folder: str, bronze: str, files: Mapping[str, str] = RAW_FILES
+    spark: SparkSession,
+    folder: str,
+    bronze: str,
+    files: Mapping[str, str] = RAW_FILES,
+    multi_line: Collection[str] = MULTI_LINE_TABLES,
 ) -> DataFrame:
-    """Ingest every table; one that fails is reported and does not stop the others."""
+    """Ingest every table; one that fails is reported and does not stop the others.
+
+    A pattern must match one file or folder: with a second one, say a copy, rows would count twice.
+    """
     report = []
     for table, pattern in files.items():
         try:
-            report.append((table, ingest_table(spark, f"{folder}/{pattern}", table, bronze), None))
+            path = only_match(spark, f"{folder}/{pattern}")
+            report.append((table, *ingest_counted(spark, path, table, bronze, multi_line), None))
         except Exception as error:  # noqa: BLE001 - any failure of one table is reported
-            report.append((table, None, str(error).splitlines()[0]))
+            report.append((table, None, None, str(error).splitlines()[0]))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 

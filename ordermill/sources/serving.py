@@ -23,11 +23,11 @@ def to_contract(df: DataFrame, name: str) -> DataFrame:
 
 
 def _as_text(field: T.StructField) -> Column:
-    """Timestamps as text. Doubles (at most 2 decimals here) without an exponent: 10017536.0, 12.5."""
+    """Timestamps as text. Doubles with all their digits and without an exponent: 10017536.0, 12.5."""
     column = F.col(field.name)
     if isinstance(field.dataType, T.DoubleType):
-        fixed = column.cast("decimal(38,2)").cast("string")
-        return F.regexp_replace(fixed, "0$", "").alias(field.name)
+        fixed = column.cast("string").cast("decimal(38,18)").cast("string")
+        return F.regexp_replace(fixed, r"(\.\d+?)0+$", "$1").alias(field.name)
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return column.cast("string").alias(field.name)
     return column
@@ -49,7 +49,17 @@ def export_table(df: DataFrame, name: str, folder: str) -> str:
 
 
 def export_all(tables: Mapping[str, DataFrame], folder: str) -> list[str]:
-    return [export_table(df, name, folder) for name, df in tables.items()]
+    """Export every table. One that fails does not stop the others; all failures are raised at the end."""
+    done, failed = [], []
+    for name, df in tables.items():
+        try:
+            done.append(export_table(df, name, folder))
+        except Exception as error:  # noqa: BLE001 - any failure of one table is reported
+            error.add_note(f"while exporting {name}")
+            failed.append(error)
+    if failed:
+        raise ExceptionGroup(f"{len(failed)} of {len(tables)} tables were not exported", failed)
+    return done
 
 
 def read_serving(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -1,17 +1,18 @@
 """Tables as parquet snapshots.
 
-    <path>/snapshots/v=<n>/...   one complete state of the table
-    <path>/runs/<n>.json         one small file per finished write: version, time, operation, rows
+    <path>/snapshots/<folder>/...   one complete state of the table
+    <path>/runs/<n>.json            one small file per finished write: folder, time, operation, rows
 
-A write fills a new snapshot folder and then adds its file to `runs`, which makes it visible. Readers of
-an older snapshot are not disturbed, and a write that dies leaves the table as it was. A table has one
-writer at a time; a second one that finishes the same version fails.
+A write fills a fresh folder of its own and then adds its file to `runs`, which makes it visible. Readers of
+an older snapshot are not disturbed, and a write that dies leaves the table as it was. Of two writers that
+saw the same last state, the second to finish fails and changes nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,10 +39,13 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     """The current state of a table, or an older one by version."""
     if version is None:
         run = latest_run(spark, path)
-        if run is None:
-            raise FileNotFoundError(f"no table at {path}")
-        version = run["version"]
-    return spark.read.parquet(f"{path}/snapshots/v={version}")
+    else:
+        name = f"{version:012d}.json"
+        known = name in list_names(spark, f"{path}/runs")
+        run = json.loads(read_text(spark, f"{path}/runs/{name}")) if known else None
+    if run is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return spark.read.parquet(f"{path}/snapshots/{run['folder']}")
 
 
 def row_count(spark: SparkSession, path: str) -> int:
@@ -78,10 +82,12 @@ def write_table(
     out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     if partition_by and spark.conf.get("spark.sql.adaptive.enabled") == "true":
         out = out.hint("rebalance", *partition_by)
-    out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/snapshots/v={version}")
+    folder = f"{version:012d}-{uuid.uuid4().hex}"
+    out.write.partitionBy(*partition_by).parquet(f"{path}/snapshots/{folder}")
     rows = counted.get["rows"]
     run = {
         "version": version,
+        "folder": folder,
         "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
         "operation": operation,
         "parameters": json.dumps({"partition_by": list(partition_by), **(parameters or {})}),

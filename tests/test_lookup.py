@@ -47,20 +47,26 @@ def test_spread_join_keeps_repeated_partners(spark, skewed, rows):
 
 def test_hot_keys_are_few_and_get_their_share(skewed):
     facts, _ = skewed
-    hot = dict(lk.hot_keys(facts, "k", share=0.01))
+    hot = dict(lk.hot_keys(facts, "k", share=0.01).collect())
     assert set(hot) == {7, None}
     assert hot[7] >= 33
-    assert len(lk.hot_keys(facts, "k", share=1 / 2000)) <= 2000
+    assert lk.hot_keys(facts, "k", share=1 / 2000).count() <= 2000
     text = facts.select(F.col("k").cast("string"))
-    assert set(dict(lk.hot_keys(text, "k", share=0.01))) == {"7", None}
+    assert set(dict(lk.hot_keys(text, "k", share=0.01).collect())) == {"7", None}
 
 
 def test_even_keys_are_joined_plainly(spark):
     facts = spark.range(40_000).select((F.col("id") % 20_000).alias("k"))
-    assert lk.hot_keys(facts, "k") == []
-    assert "_salt" not in lk.spread_join(facts, facts.distinct(), "k")._jdf.queryExecution().toString()
+    assert lk.hot_keys(facts, "k").collect() == []
+    assert lk.spread_join(facts, facts.distinct(), "k").count() == 40_000
     empty = facts.limit(0)
-    assert lk.hot_keys(empty, "k") == [] and lk.spread_join(empty, facts, "k").count() == 0
+    assert lk.hot_keys(empty, "k").collect() == [] and lk.spread_join(empty, facts, "k").count() == 0
+
+
+def test_only_counts_meet_in_one_task(skewed):
+    facts, side = skewed
+    plan = lk.spread_join(facts, side, "k")._jdf.queryExecution().toString()
+    assert "approx_top_k" not in plan and "collect_" not in plan
 
 
 def test_hot_key_does_not_fill_one_partition(spark, skewed):

@@ -91,6 +91,65 @@ def test_byte_order_mark_is_harmless(spark, tmp_path):
     assert [tuple(r) for r in got] == [("beleza_saude", "health_beauty")]
 
 
+def payments(tmp_path, *lines, header=None):
+    header = header or "order_id,payment_sequential,payment_type,payment_installments,payment_value"
+    (tmp_path / "p.csv").write_text("\n".join([header, *lines, ""]), encoding="utf-8")
+    return f"{tmp_path}/p.csv"
+
+
+def test_bad_cells_are_rejected_and_kept(spark, tmp_path):
+    path = payments(
+        tmp_path,
+        "o1,1,boleto,1,99999999999.99",
+        "o2,1,boleto,1,1.239",
+        "o3,1,boleto,1,abc",
+        "o4,x,boleto,y,1.00",
+        "o5,1,boleto",
+        "o6,1,boleto,1,1.00,7",
+        "o7,1,boleto,1,1.00001",
+        "o8,,,,",
+    )
+    assert raw.ingest_counted(spark, path, "order_payments", f"{tmp_path}/bronze") == (3, 5)
+    good = {r["order_id"]: r["payment_value"] for r in read_table(spark, f"{tmp_path}/bronze/order_payments").collect()}
+    assert good == {"o1": D("99999999999.99"), "o2": D("1.239"), "o8": None}
+    aside = read_table(spark, raw.rejected_path(f"{tmp_path}/bronze", "order_payments")).collect()
+    assert {r["order_id"]: r[raw.REASON] for r in aside} == {
+        "o3": "payment_value",
+        "o4": "payment_sequential, payment_installments",
+        "o5": "number of cells",
+        "o6": "number of cells",
+        "o7": "payment_value",
+    }
+
+
+def test_another_header_is_refused(spark, tmp_path):
+    header = "order_id,payment_type,payment_sequential,payment_installments,payment_value"
+    path = payments(tmp_path, "o1,boleto,1,1,2.00", header=header)
+    with pytest.raises(Exception, match="(?i)header"):
+        raw.ingest_counted(spark, path, "order_payments", f"{tmp_path}/bronze")
+
+
+def test_a_second_file_for_a_table_is_refused(spark, folder, tmp_path):
+    (tmp_path / "backup_orders_dataset.csv").write_text(CSV["shop_orders_dataset.csv"], encoding="utf-8")
+    report = raw.ingest_all(spark, folder, f"{tmp_path}/bronze", {"orders": RAW_FILES["orders"]}).first()
+    assert report["rows"] is None and "matches 2 files" in report["error"]
+
+
+def test_run_stops_when_a_needed_table_fails(spark, folder, tmp_path):
+    (tmp_path / "shop_products_dataset.csv").unlink()
+    with pytest.raises(RuntimeError, match="products"):
+        pipeline.run(spark, folder, f"{tmp_path}/lake")
+
+
+def test_orders_without_an_id_are_set_aside_once(spark, folder, tmp_path):
+    path = tmp_path / "shop_orders_dataset.csv"
+    path.write_text(path.read_text() + ",c9,created,2017-10-02 10:56:33,,,,2017-10-18 00:00:00\n")
+    for _ in range(3):
+        pipeline.run(spark, folder, f"{tmp_path}/lake")
+        assert read_table(spark, f"{tmp_path}/lake/silver/orders").count() == 3
+        assert read_table(spark, f"{tmp_path}/lake/silver/orders_without_id").count() == 1
+
+
 def test_stamp(spark):
     got = raw.stamp(spark.range(1), "orders").first()
     assert got["_source"] == "batch_csv/orders" and got["_bronze_ingested_at"] is not None

@@ -110,7 +110,8 @@ def test_questions(spark, monthly, states, categories):
 def test_free_sql_over_views(spark, monthly):
     questions.register_views({"kpi_monthly": monthly})
     got = questions.ask_sql(spark, "SELECT order_month FROM kpi_monthly ORDER BY order_month")
-    assert got.count() == 20 and got.first()[0] == "2016-09"
+    assert got.count() == 25 and got.first()[0] == "2016-09"
+    assert questions.ask_sql(spark, "SELECT * FROM kpi_monthly", limit=3).count() == 3
 
 
 def test_labels(spark):

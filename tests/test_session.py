@@ -20,7 +20,7 @@ def test_shuffles_grow_with_the_input_and_go_back(spark, tmp_path, monkeypatch):
     assert spark.conf.get(PARTITIONS) == before
 
 
-def test_unknown_sizes_are_left_out(spark):
+def test_unknown_sizes_alone_change_nothing(spark):
     from pyspark.sql import Row
 
     unknown = spark.createDataFrame(spark.sparkContext.parallelize([Row(a=1)]))
@@ -34,5 +34,8 @@ def test_scratch_goes_to_the_shared_folder(tmp_path):
 
     first, second = (session.scratch_dir(Session, "x") for _ in range(2))
     assert first.startswith(f"{tmp_path}/shared/x-") and first != second
-    Session.conf = {}
+    Session.conf = {"spark.master": "local[4]"}
     assert session.scratch_dir(Session, "x") != session.scratch_dir(Session, "x")
+    Session.conf = {"spark.master": "yarn"}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Session, "x")

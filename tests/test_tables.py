@@ -62,6 +62,18 @@ def test_unfinished_write_is_invisible(spark, tmp_path, rows):
     assert rows(tables.read_table(spark, path)) == [("b", "x")]
 
 
+def test_losing_writer_leaves_the_table_as_it_was(spark, tmp_path, rows, monkeypatch):
+    path = f"{tmp_path}/t"
+    tables.write_table(frame(spark, ("a", "x")), path)
+    stale = tables.latest_run(spark, path)
+    tables.write_table(frame(spark, ("b", "y"), ("c", "y")), path)
+    monkeypatch.setattr(tables, "latest_run", lambda *_: stale)
+    with pytest.raises(FileExistsError):
+        tables.write_table(frame(spark, ("d", "z")), path)
+    monkeypatch.undo()
+    assert rows(tables.read_table(spark, path)) == [("b", "y"), ("c", "y")]
+
+
 def test_version_is_finished_once(spark, tmp_path):
     path = f"{tmp_path}/runs/1.json"
     files.create_text(spark, path, "{}")
