@@ -59,3 +59,21 @@ def test_round_trip_replace_and_report(spark, tmp_path):
     report = {r["file_name"]: (r["bytes"], r["rows"]) for r in serving.export_report(spark, folder).collect()}
     assert len(report) == 5
     assert report["kpi_nps.csv"] == ((tmp_path / "kpi_nps.csv").stat().st_size, 1)
+
+
+def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
+    tables = sample(spark)
+    first = next(iter(tables))
+    tables[first] = tables[first].drop("total_orders")
+    with pytest.raises(ExceptionGroup, match="1 of 5 tables"):
+        serving.export_all(tables, str(tmp_path))
+    assert len(list(tmp_path.glob("*.csv"))) == 4
+
+
+def test_export_does_not_round(spark, tmp_path):
+    row = [("SP", 1, 0.125, -1.0 / 3, 1e-05, 12345678901.25, 4.0)]
+    states = spark.createDataFrame(row, SERVING_CONTRACT["kpi_seller_state"])
+    path = serving.export_table(states, "kpi_seller_state", str(tmp_path))
+    text = open(path, encoding="utf-8").read().splitlines()[1].split(",")
+    assert [float(x) for x in text[2:]] == [0.125, -1.0 / 3, 1e-05, 12345678901.25, 4.0]
+    assert not any("e" in x.lower() for x in text[2:])
