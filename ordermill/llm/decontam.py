@@ -10,14 +10,15 @@ The benchmark is a stated query set. It is taken in blocks of items, so that one
 
 Defined results: null texts have no words, a document without words is never contaminated, an item without words
 never occurs, items that repeat count once, an empty benchmark hits nothing; rows that repeat are judged each,
-other columns are ignored.
+other columns are ignored unless they are to be kept.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -35,7 +36,8 @@ BLOCK_CHARS = 16_000_000
 _WORD_BYTES = re.compile(rb"[0-9a-z\x80-\xff]+")
 _BLANKED = bytes(b if _WORD_BYTES.fullmatch(bytes([b])) else 32 for b in range(256))
 RUNS = "array<struct<start:int,end:int>>"
-RESULT = f"doc_id long, n_words long, n_hit long, items array<string>, runs {RUNS}, spans {RUNS}"
+NAMES = ("n_words", "n_hit", "items", "runs", "spans")
+RESULT = f"n_words long, n_hit long, items array<string>, runs {RUNS}, spans {RUNS}"
 
 
 def normal_words(text: str | None) -> list[bytes]:
@@ -63,6 +65,17 @@ def build_automaton(items: list[tuple[str, str | None]], window: int = WINDOW) -
     return automaton
 
 
+class Block:
+    """Some benchmark items; broadcast, so that a worker process builds their automaton once for all its tasks."""
+
+    def __init__(self, items: list[tuple[str, str | None]], window: int):
+        self.items, self.window = items, window
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton | None:
+        return build_automaton(self.items, self.window)
+
+
 def _runs(hit: np.ndarray) -> list[dict[str, int]]:
     """Runs of true values, end exclusive."""
     edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
@@ -103,32 +116,38 @@ def scan(text: str | None, automaton, runs=(), items=()) -> tuple[int, list[dict
 
 
 def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    block_chars: int = BLOCK_CHARS,
+    keep: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """For each row of `docs`: doc_id, n_words, n_hit, items (sorted ids with occurring windows), runs of hit
-    words (word numbers) and spans (character offsets in the original text)."""
+    """For each row of `docs`: the columns to keep, n_words, n_hit, items (sorted ids with occurring windows), runs of
+    hit words (word numbers) and spans (character offsets in the original text). Nothing is shuffled."""
     spark = docs.sparkSession
     texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id IS NOT NULL")
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks = max(1, math.ceil(chars / block_chars))
-    empty = F.array().cast(RUNS)
-    state = docs.select("doc_id", "text", empty.alias("runs"), F.array().cast("array<string>").alias("items"))
+    no_runs, no_items = F.array().cast(RUNS), F.array().cast("array<string>")
+    carried = list(dict.fromkeys((*keep, "text")))
+    state = docs.select(*carried, no_runs.alias("runs"), no_items.alias("items"))
+    types = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema}
     for block in range(n_blocks):
         items = texts.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block).collect()
-        shared = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in items])
+        shared = spark.sparkContext.broadcast(Block([(r["item_id"], r["text"]) for r in items], window))
         final = block == n_blocks - 1
-        schema = RESULT if final else f"doc_id long, text string, runs {RUNS}, items array<string>"
-        state = state.mapInPandas(_scanner(shared, window, final), schema)
+        schema = ", ".join([*(types[c] for c in keep), RESULT] if final else types.values())
+        state = state.mapInPandas(_scanner(shared, list(keep) if final else carried, final), schema)
         if not final:
             state = stored(state, "decontam")
     return state
 
 
-def _scanner(shared, window: int, final: bool):
-    names = ["doc_id", "n_words", "n_hit", "items", "runs", "spans"] if final else ["doc_id", "text", "runs", "items"]
+def _scanner(shared, carried: list[str], final: bool):
+    names = list(NAMES) if final else ["runs", "items"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        automaton = build_automaton(shared.value, window)
+        automaton = shared.value.automaton
         for batch in batches:
             rows = []
             for text, before, items in zip(batch["text"], batch["runs"], batch["items"], strict=True):
@@ -136,9 +155,8 @@ def _scanner(shared, window: int, final: bool):
                 n_hit = sum(r["end"] - r["start"] for r in runs)
                 spans = _original_spans(text, runs) if final else None
                 rows.append((n_words, n_hit, items, runs, spans))
-            out = pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "runs", "spans"])
-            out["doc_id"], out["text"] = batch["doc_id"].astype("Int64").to_numpy(), batch["text"].to_numpy()
-            yield out[names]
+            found = pd.DataFrame(rows, columns=list(NAMES), index=batch.index)
+            yield pd.concat([batch[carried], found[names]], axis=1)
 
     return run
 
