@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import WORD, stored, text_or_empty
@@ -42,12 +42,17 @@ class Mix:
     pieces: DataFrame
 
 
+def size_of(column: str) -> Column:
+    """Number of words of a text."""
+    return F.regexp_count(text_or_empty(column), F.lit(WORD)).cast("long")
+
+
 def document_sizes(docs: DataFrame) -> DataFrame:
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     sized = docs.select(
         "doc_id",
         "source",
-        F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
+        size_of("text").alias("size"),
         order.alias("order_key"),
     )
     bucket = F.floor(F.conv(F.substring("order_key", 1, 3), 16, 10).cast("int") / 4).cast("int")

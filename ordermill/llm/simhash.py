@@ -17,7 +17,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -60,16 +60,20 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(votes * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every row."""
+def fingerprints(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, keep: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """The columns to keep and the fingerprint `fp` (as a signed long) of every row."""
+    keep = list(keep)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = np.array([fingerprint(t, shingle_words) for t in batch["text"]], np.uint64)
-            ids = batch["doc_id"].astype("Int64").to_numpy()
-            yield pd.DataFrame({"doc_id": ids, "fp": found.view(np.int64)})
+            yield batch[keep].assign(fp=found.view(np.int64))
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long")
+    types = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
+    needed = docs.select(*dict.fromkeys((*keep, "text")))
+    return needed.mapInPandas(run, ", ".join([*types, "fp long"]))
 
 
 # --- the index of one bucket
@@ -240,7 +244,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
-    """doc_id, fp (signed long) and component_id (smallest doc_id reachable over links) for every row."""
+    """doc_id, fp (signed long), root (smallest fp reachable over links) and component_id (smallest doc_id
+    reachable) for every row."""
     marked = stored(fingerprints(docs, shingle_words), "simhash")
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
     members = components(near_links(distinct, distance))
@@ -248,5 +253,5 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, distanc
         "fp", "least_id", F.coalesce("root", "fp").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_fingerprint = rooted.join(ids, "root").select("fp", "component_id")
+    by_fingerprint = rooted.join(ids, "root").select("fp", "root", "component_id")
     return marked.join(by_fingerprint, "fp")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ordermill.llm import quality
+from ordermill.llm import mixing, quality
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -80,6 +80,21 @@ def test_run_on_odd_rows(spark, tmp_path):
     assert all(r["taken"] == r["size"] for r in out)
 
 
+def test_ids_that_do_not_name_one_row(spark):
+    long = " ".join(f"w{i}" for i in range(50))
+    rows = [(7, long, "en", "a", 1), (7, long, "en", "a", 1), (7, "one two three", "en", "b", 1)]
+    rows += [(None, "four five six", "en", "a", 1), (None, "seven eight", "en", "a", 1), (8, long, "en", "a", 1)]
+    rows += [(None, "seven eight", "en", "a", 1), (9, "one two three", None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    wanted = [(7, long), (7, "one two three"), (None, "four five six"), (None, "seven eight")]
+    assert sorted(map(repr, wanted)) == sorted(repr((r["doc_id"], r["text"])) for r in left)
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF)
+    assert sorted(map(repr, rows)) == sorted(repr(tuple(r)) for r in mixed.select(*docs.columns).collect())
+    plain = mixing.words_taken(mixing.mix(docs)).groupBy("source").agg(F.sum("taken")).collect()
+    assert sorted(map(repr, plain)) == sorted(map(repr, mixed.groupBy("source").agg(F.sum("taken")).collect()))
+
+
 def test_run_on_empty_tables(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
