@@ -29,6 +29,10 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    _file_system(spark, path).delete(_path(spark, path), True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     stream = _file_system(spark, path).open(_path(spark, path))
     try:
