@@ -75,7 +75,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     unclear = _unclear_ids(taken)
     added = ["size", "source_size", "target", "taken"]
     known = taken.join(unclear, _is_unclear(), "left_anti").select("doc_id", *added)
-    clear = own.join(known, "doc_id")
+    # Texts move once at any size; a broadcast would only fit small tables.
+    clear = own.join(known.hint("merge"), "doc_id")
 
     def numbered(rows: DataFrame, *last: str) -> DataFrame:
         key = ["doc_id", "source", "size"]
