@@ -262,6 +262,36 @@ def stream_upsert(spark, sf_dir):
     )
 
 
+@query
+def stream_batch_mixed(spark, sf_dir):
+    """Batch, events, batch, events for fixed orders, folded once on the way; times are written in two formats."""
+    path = f"{scratch_dir(spark, 'mixed')}/silver"
+    number = F.col("order_id").cast("bigint")
+    state = _events(spark, sf_dir)
+
+    def at(day: int):
+        return F.to_timestamp("order_purchase_ts") + F.make_dt_interval(F.lit(day))
+
+    def batch(rows: DataFrame, day: int):
+        source = F.lit(f"{apply.BATCH_SOURCE}/orders").alias("source")
+        rows = rows.select("order_id", "order_status", source, at(day).alias("bronze_ingested_at"))
+        tables.upsert_table(rows, path, "order_id", ("order_status",))
+
+    def send(rows: DataFrame, status: str, day: int, batch_id: int):
+        blank, mark = (F.date_format(at(day), f) for f in ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss"))
+        time = F.when(number % 4 == 0, mark).otherwise(blank)
+        payload = rows.withColumns({"order_status": F.lit(status), "ingested_at": time})
+        envelope = (F.lit("orders").alias("topic"), F.lit(0).alias("partition"), number.alias("offset"), at(day).alias("timestamp"))
+        apply.apply_batch(ingest.parse_messages(events.to_messages(payload, *envelope)), batch_id, path)
+
+    batch(state, 0)
+    send(state.filter(number % 2 == 0), "shipped", 2, 0)
+    apply.compact(spark, path)
+    batch(state.filter(number % 3 == 0).withColumn("order_status", F.lit("delivered")), 4)
+    send(state.filter(number % 5 == 0), "canceled", 3, 1)
+    return apply.read_current(spark, path).select("order_id", "order_status")
+
+
 # --- rows and joins
 
 

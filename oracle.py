@@ -362,6 +362,13 @@ ORACLE = {
             dq_flags
         FROM flagged""",
     ),
+    "stream_batch_mixed": _over(
+        RAW,
+        """SELECT CAST(order_id AS VARCHAR) AS order_id, CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN 'delivered'
+            WHEN CAST(order_id AS BIGINT) % 5 = 0 THEN 'canceled'
+            WHEN CAST(order_id AS BIGINT) % 2 = 0 THEN 'shipped' ELSE order_status END AS order_status
+        FROM raw_orders""",
+    ),
     # rows and joins
     "orders_renamed": _over(
         RAW,
