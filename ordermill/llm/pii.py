@@ -2,13 +2,16 @@
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers with their offsets. The method then asks which
 other terms disclose these entities: over all documents, a term t discloses an entity e as far as
-PMI(e; t) / IC(e), the share of e's information that seeing t gives, with IC(e) = -log2 P(e). Evidence are the distinct
-passages around e (copies count once) and the document frequency of t in the whole corpus. Terms above
-`GENERALISE` are replaced by a general word, terms above `REMOVE` are removed, in the documents where they stand
-near that entity.
+PMI(e; t) / IC(e), the share of e's information that seeing t gives, with IC(e) = -log2 P(e). All counts (of e, of t, of
+both together and of all) are of documents, with a document's whole text as the place where e and t stand together,
+so copying every document changes no decision. Least support: a term must share at least `LEAST_TEXTS` different texts
+with an entity; copies of one text are one of these, so what is only ever found in one or two texts discloses nothing.
+Terms above `GENERALISE` are replaced by a general word, terms above `REMOVE` are removed, wherever they stand in the
+documents of that entity.
 
-All of it is built-in functions. Documents are read where they lie; only passages around entities and term counts are
-shuffled, and what a document gets back are the terms of its own passages.
+All of it is built-in functions. Documents are read where they lie; only term counts, and the terms of distinct texts
+that hold entities, are shuffled. Copies are counted before pairs of entities and terms are listed, pairs that are too
+frequent to disclose are left out (which loses none), and tasks combine the others before they are shuffled.
 
 Defined results: null text is empty (and stays null when texts are rewritten); rows that repeat an id share the terms
 found for that id, a null id is an id like others; an empty table gives an empty result; other columns are kept by
@@ -39,8 +42,8 @@ SIGNS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9]", "phone": r"\+[0
 LABELS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "term": "<TERM>", "drop": ""}
 
 TERM = r"\p{L}{3,}"
-NEAR_CHARS = 120
-LEAST_PASSAGES = 3
+LEAST_TEXTS = 3
+COMMON = 2**16
 GENERALISE = 0.8
 REMOVE = 0.95
 SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -113,56 +116,83 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
-def passages(docs: DataFrame) -> DataFrame:
-    """doc_id, entity and the terms next to it, for every match; words cut by the passage's edge are left out."""
-    found = docs.select("doc_id", text_or_empty().alias("text")).withColumn("m", F.explode(base_matches(F.col("text"))))
-    kind, value, start = F.col("m.kind"), F.col("m.value"), F.col("m.start")
-    name = F.when(kind.isin("card", "phone"), _digits(value)).otherwise(lower_ascii(value))
-    begin = F.greatest(start - NEAR_CHARS, F.lit(0))
-    left = F.substring(F.col("text"), begin + 1, start - begin)
-    right = F.substring(F.col("text"), F.col("m.end") + 1, F.lit(NEAR_CHARS))
-    left = F.when(begin > 0, F.regexp_replace(left, r"\A\p{L}+", " ")).otherwise(left)
-    cut = F.length("text") > F.col("m.end") + NEAR_CHARS
-    right = F.when(cut, F.regexp_replace(right, r"\p{L}+\z", " ")).otherwise(right)
-    return found.select(
-        "doc_id",
-        F.concat(kind, F.lit(":"), name).alias("entity"),
-        F.array_sort(terms(F.concat(left, F.lit(" "), right))).alias("near"),
+def entities(text: Column) -> Column:
+    """Distinct entities of a text as kind:value, the value in lower case or its digits alone."""
+
+    def name(m: Column) -> Column:
+        number = m["kind"].isin("card", "phone")
+        return F.concat(m["kind"], F.lit(":"), F.when(number, _digits(m["value"])).otherwise(lower_ascii(m["value"])))
+
+    return F.array_distinct(F.transform(base_matches(text), name))
+
+
+def _digest() -> Column:
+    return F.md5(text_or_empty().cast("binary")).alias("digest")
+
+
+def holders(docs: DataFrame) -> DataFrame:
+    """The distinct texts that hold entities: digest, n (documents with this text), entities and terms."""
+    text = text_or_empty()
+    row = lambda e: F.struct(_digest(), e.alias("entities"), terms(text).alias("terms"))
+    holding = F.filter(F.array(entities(text)), lambda e: F.size(e) > 0)
+    found = docs.select(F.inline(F.transform(holding, row)))
+    once = [F.first(c).alias(c) for c in ("entities", "terms")]
+    return stored(found.groupBy("digest").agg(F.count("*").alias("n"), *once), "pii-texts")
+
+
+def pairs(texts: DataFrame, frequency: DataFrame, n_docs: int) -> DataFrame:
+    """digest, n, entity, n_entity, term: what stands together in a text, without pairs that cannot disclose.
+
+    As n_both <= n_entity, a share of at least GENERALISE needs n_term <= n_entity * (N / n_entity) ** (1 - GENERALISE).
+    """
+    total = F.lit(float(n_docs))
+    often = (
+        texts.select("n", F.explode("entities").alias("entity"))
+        .groupBy("entity")
+        .agg(F.sum("n").alias("n_entity"), F.count("*").alias("n_texts"))
+        .filter(F.col("n_texts") >= LEAST_TEXTS)
+        .select("entity", "n_entity", (F.col("n_entity") * F.pow(total / F.col("n_entity"), 1 - GENERALISE) * (1 + 1e-9)).alias("most"))
+    )
+    kept = texts.select("digest", F.explode("entities").alias("entity")).join(often, "entity")
+    kept = kept.groupBy("digest").agg(F.collect_list(F.struct("entity", "n_entity", "most")).alias("kept"))
+    texts = stored(texts.select("digest", "n", "terms").join(kept, "digest"), "pii-kept")
+    # The most frequent terms by number, of a fixed count.
+    common = frequency.orderBy(F.desc("n_term"), "term").limit(COMMON)
+    return (
+        texts.select("digest", "n", "terms", F.explode("kept").alias("e"))
+        .select("digest", "n", "e.*", F.explode("terms").alias("term"))
+        .join(F.broadcast(common), "term", "left")
+        .filter("n_term IS NULL OR n_term <= most")
+        .select("digest", "n", "entity", "n_entity", "term")
     )
 
 
-def disclosing_terms(docs: DataFrame, near: DataFrame) -> DataFrame:
-    """entity, term, action ("term" to generalise, "drop" to remove), from the passages and the whole corpus."""
-    distinct = near.select("entity", "near").distinct()
-    n_entity = distinct.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = (
-        distinct.select("entity", F.explode("near").alias("term"))
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("n_both"))
-        .filter(F.col("n_both") >= LEAST_PASSAGES)
+def disclosing_terms(together: DataFrame, frequency: DataFrame, n_docs: int) -> DataFrame:
+    """entity, term, action ("term" to generalise, "drop" to remove); all counts are of documents."""
+    both = (
+        together.groupBy("entity", "n_entity", "term")
+        .agg(F.sum("n").alias("n_both"), F.count("*").alias("n_texts"))
+        .filter(F.col("n_texts") >= LEAST_TEXTS)
     )
-    frequency = docs.select(F.explode(terms(text_or_empty())).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    n_docs = F.lit(docs.count()).cast("double")
-    information = F.log2(n_docs / F.col("n_entity"))
-    pmi = F.log2(n_docs * F.col("n_both") / (F.col("n_entity") * F.greatest("n_term", "n_both")))
+    total = F.lit(float(n_docs))
+    information = F.log2(total / F.col("n_entity"))
+    pmi = F.log2(total * F.col("n_both") / (F.col("n_entity").cast("double") * F.col("n_term")))
     disclosed = F.when(information > 0, pmi / information)
     action = F.when(disclosed >= REMOVE, "drop").when(disclosed >= GENERALISE, "term")
-    return (
-        pairs.join(frequency, "term")
-        .join(n_entity, "entity")
-        .select("entity", "term", action.alias("action"))
-        .filter("action IS NOT NULL")
-    )
+    return both.join(frequency, "term").select("entity", "term", action.alias("action")).filter("action IS NOT NULL")
 
 
 def _terms_by_document(docs: DataFrame) -> DataFrame:
-    near = stored(passages(docs), "pii-passages")
-    found = near.select("doc_id", "entity", F.explode("near").alias("term")).join(
-        disclosing_terms(docs, near), ["entity", "term"]
-    )
-    chosen = F.array_sort(F.collect_set(F.struct("action", "term")))
-    by_document = found.groupBy(F.col("doc_id").alias("found_id")).agg(chosen.alias("chosen"))
-    # Written down, its size is known, and while it is small the documents need not be shuffled.
+    texts, n_docs = holders(docs), docs.count()
+    frequency = docs.select(F.explode(terms(text_or_empty())).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    # Written down, sizes are known, and what is small need not be shuffled with what is large.
+    frequency = stored(frequency.filter(F.col("n_term") >= LEAST_TEXTS), "pii-frequency")
+    together = pairs(texts, frequency, n_docs)
+    found = together.join(stored(disclosing_terms(together, frequency, n_docs), "pii-disclosing"), ["entity", "term"])
+    by_text = found.groupBy("digest").agg(F.collect_set(F.struct("action", "term")).alias("chosen"))
+    by_text = stored(by_text, "pii-chosen")
+    chosen = docs.select("doc_id", _digest()).join(by_text, "digest").select("doc_id", F.explode("chosen").alias("c"))
+    by_document = chosen.groupBy(F.col("doc_id").alias("found_id")).agg(F.array_sort(F.collect_set("c")).alias("chosen"))
     return stored(by_document, "pii-terms")
 
 
