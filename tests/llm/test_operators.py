@@ -317,6 +317,19 @@ def test_a_passage_that_documents_share_counts_by_document(spark):
     assert not any("Zebediah" in r["text"] or "Colleague" not in r["text"] for i, r in out.items() if i < 20)
 
 
+def test_terms_are_seen_and_hidden_far_from_the_entity(spark):
+    far = [" ".join(words(i, 60)) for i in range(24)]
+    texts = [f"Dear Zebediah, {far[i]} write to zeb@corp.example {far[i + 8]} yours Zebediah" for i in range(8)]
+    texts += [f"Dear all, {far[i]} write yours {far[i - 8]}" for i in range(16, 24)] * 10
+    # Two different texts are less than the least support, however many copies there are.
+    texts += [f"Dear Ottoline, {far[i]} write to ott@corp.example" for i in (0, 1)] * 5
+    out = by_id(pii.sanitise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    for i, text in enumerate(texts[:8]):
+        assert out[i]["text"] == text.replace("Zebediah", "").replace("zeb@corp.example", "<EMAIL>")
+    assert all(out[i]["text"] == t for i, t in enumerate(texts[:88]) if i >= 8)
+    assert all(out[i]["text"] == t.replace("ott@corp.example", "<EMAIL>") for i, t in enumerate(texts) if i >= 88)
+
+
 def test_overlapping_matches_leave_nothing(spark):
     df = spark.createDataFrame([(1, "call +4222222222222 now 1.2.3.4 or 4222222222222")], "doc_id long, text string")
     text = pii.sanitise(df).first()["text"]
