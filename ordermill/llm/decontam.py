@@ -9,8 +9,9 @@ The benchmark is a stated query set. It is taken in blocks of items, so that one
 `BLOCK_CHARS` of benchmark text however long the benchmark is; with the usual sizes there is one block.
 
 Defined results: null texts have no words, a document without words is never contaminated, an item without words
-never occurs, items that repeat count once, an empty benchmark hits nothing; rows that repeat are judged each,
-other columns are ignored unless they are to be kept.
+never occurs, items that repeat count once, an item without an id hits words like others but is in no list of items
+(n_items counts ids only), an empty benchmark hits nothing; rows that repeat are judged each, other columns are
+ignored unless they are to be kept.
 """
 
 from __future__ import annotations
@@ -49,13 +50,15 @@ def padded(words: list[bytes]) -> str:
     return (b" " + b" ".join(words) + b" ").decode("latin-1")
 
 
-def build_automaton(items: list[tuple[str, str | None]], window: int = WINDOW) -> ahocorasick.Automaton | None:
+def build_automaton(items: list[tuple[str | None, str | None]], window: int = WINDOW) -> ahocorasick.Automaton | None:
     patterns: dict[str, tuple[int, set[str]]] = {}
     for item_id, text in items:
         words = normal_words(text)
         for at in range(max(1, len(words) - window + 1)) if words else ():
             part = words[at : at + window]
-            patterns.setdefault(padded(part), (len(part), set()))[1].add(item_id)
+            owners = patterns.setdefault(padded(part), (len(part), set()))[1]
+            if item_id is not None:
+                owners.add(item_id)
     if not patterns:
         return None
     automaton = ahocorasick.Automaton()
@@ -68,7 +71,7 @@ def build_automaton(items: list[tuple[str, str | None]], window: int = WINDOW) -
 class Block:
     """Some benchmark items; broadcast, so that a worker process builds their automaton once for all its tasks."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int):
         self.items, self.window = items, window
 
     @cached_property
@@ -125,7 +128,7 @@ def find_contamination(
     """For each row of `docs`: the columns to keep, n_words, n_hit, items (sorted ids with occurring windows), runs of
     hit words (word numbers) and spans (character offsets in the original text). Nothing is shuffled."""
     spark = docs.sparkSession
-    texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id IS NOT NULL")
+    texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks = max(1, math.ceil(chars / block_chars))
     no_runs, no_items = F.array().cast(RUNS), F.array().cast("array<string>")
@@ -133,7 +136,7 @@ def find_contamination(
     state = docs.select(*carried, no_runs.alias("runs"), no_items.alias("items"))
     types = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema}
     for block in range(n_blocks):
-        items = texts.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block).collect()
+        items = texts.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect()
         shared = spark.sparkContext.broadcast(Block([(r["item_id"], r["text"]) for r in items], window))
         final = block == n_blocks - 1
         schema = ", ".join([*(types[c] for c in keep), RESULT] if final else types.values())

@@ -211,6 +211,19 @@ def test_spans_are_offsets_of_the_original(spark):
     assert "Zü — TWO;  words, é"[span["start"] : span["end"]] == "TWO;  words"
 
 
+@pytest.mark.parametrize("block_chars", [10**9, 60])
+def test_items_without_an_id_hit_words(spark, block_chars):
+    passage, other = " ".join(words(60, 20)), " ".join(words(61, 20))
+    texts = [passage, f"{passage} and {other}", " ".join(words(62, 20)), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = [(None, passage), (None, None), (None, " ".join(words(63, 20))), (4, other), (None, other)]
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    out = by_id(decontam.judge(decontam.find_contamination(docs, bench, block_chars=block_chars)))
+    assert [(out[i]["n_hit"], out[i]["n_items"]) for i in range(4)] == [(20, 0), (40, 1), (0, 0), (0, 0)]
+    assert [out[i]["contaminated"] for i in range(4)] == [True, True, False, False]
+    assert out[1]["items_sha256"] == brute.sha("4")
+
+
 # --- archives
 
 
