@@ -176,6 +176,8 @@ def _compared(joined: DataFrame) -> DataFrame:
                 F.col("new_units"),
             ),
         )
+        # A tail below a window's units adds none after the shared windows.
+        .withColumn("tail", F.when((F.col("n_shared") == 0) | (F.size("tail") >= WINDOW + GRAM - 1), F.col("tail")).otherwise(F.array().cast("array<string>")))
         .withColumn("before", F.when(F.col("n_shared") > 0, _let(F.col("n_shared"), choices_before)).otherwise(none))
         .select("key", "n_chars", "edited_sha256", "chosen", "next_hashes", "n_shared", "tail", "before")
     )

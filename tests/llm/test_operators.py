@@ -122,6 +122,18 @@ def test_winnowing_takes_rightmost_minimum(spark):
     assert got == brute.winnow(text, 3, 10, 16, of.__getitem__)
 
 
+def test_an_edit_without_units_adds_no_window(spark):
+    rows = [(2 * i, "" if i % 2 else None) for i in range(60)]
+    # Two thirds of 60 words of four characters and a blank end in a blank.
+    rows += [(2 * i + 1, " ".join(f"w{n:03d}" for n in np.random.default_rng(i).integers(0, 999, 60)) + " ") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = docs.withColumn("text", F.expr("substring(text, 1, 200)"))
+    found, marks = by_id(fingerprints.compare_with_edits(docs)), by_id(fingerprints.winnow(kept))
+    for doc_id, text in rows:
+        if text:
+            assert found[doc_id]["edited_fingerprint"] == "".join(f"{m['hash']:08x}" for m in marks[doc_id]["marks"])
+
+
 # --- language model
 
 
