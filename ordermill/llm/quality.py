@@ -8,10 +8,11 @@ probability.
 
 Word vectors take no labels and cover all documents; sums are whole numbers, so they do not depend on the order
 of tasks. The table of vectors has a fixed size (ROWS x DIMS numbers) and is the only thing sent to tasks. The
-network is fitted on at most `SAMPLE_ROWS` labelled rows, chosen by a hash of their id.
+network is fitted on at most `SAMPLE_ROWS` labelled rows, chosen by a hash of their id, one row of each id.
 
 Defined results: null and empty texts pool to zeros and get a score like others; labels without a document or with
-a null are left out, repeated labels count by majority (ties as good); without any labelled rows every score is
+a null are left out, repeated labels count by majority (ties as good); of rows that repeat a labelled id the text with the smallest hash is
+fitted; without any labelled rows every score is
 0.5; rows that repeat are scored each; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -207,8 +208,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    # At most `rows` pairs of numbers, by the limit above.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # At most `rows` rows of numbers, by the limit above.
+    own = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    least = own.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "good").agg(F.min("mark").alias("mark"))
+    # Rows that are left of one id have equal texts.
+    return own.join(F.broadcast(least), ["doc_id", "mark"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "good")
 
 
 @dataclass

@@ -442,6 +442,19 @@ def test_quality_without_labels_is_undecided(spark, docs):
     assert scores == {0.5}
 
 
+def test_sample_has_one_row_for_each_labelled_id(spark):
+    rows = [(0, f"text {i % 7}") for i in range(300)] + [(i, f"other {i}") for i in range(1, 30)] + [(7, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ids = spark.range(40).withColumnRenamed("id", "doc_id")
+    labels = ids.filter(~quality.held_out(F.col("doc_id"))).withColumn("quality", F.lit(1))
+    assert {0, 7} <= {r["doc_id"] for r in labels.collect()}
+    sample = [tuple(r) for r in quality.training_sample(docs, labels, 1000).collect()]
+    wanted = {r["doc_id"] for r in labels.collect()} & {i for i, _ in rows}
+    assert sorted(r[0] for r in sample) == sorted(wanted) and {r[2] for r in sample} == {1}
+    again = quality.training_sample(docs.repartition(2), labels, 1000).collect()
+    assert sorted(map(repr, sample)) == sorted(repr(tuple(r)) for r in again)
+
+
 # --- URLs
 
 
