@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import (
+    conversations,
     decontam,
     fingerprints,
+    manifest,
     mixing,
+    packing,
     pii,
     quality,
     scoring,
@@ -95,6 +99,19 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), path)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     build.__name__: build
     for build in (
@@ -108,6 +125,9 @@ QUERIES: dict[str, Query] = {
         op8_pii,
         op9_simhash_near_dedup,
         op10_url_filters,
+        op11_merkle_manifest,
+        op12_packing,
+        op13_conversation_repair,
     )
 }
 
@@ -181,4 +201,58 @@ ORACLE = {
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
         FROM judged""",
+    "op11_merkle_manifest": r"""
+        WITH RECURSIVE fields AS (
+            SELECT *, [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text] AS v,
+                   list_reduce([4294967295] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                       lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+                       lambda s, b: CASE WHEN b >= 0 THEN xor(s, b) WHEN s % 2 = 1 THEN xor(s >> 1, 3988292384)
+                                      ELSE s >> 1 END) AS crc
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, lang, sha256(array_to_string(list_transform(v, lambda x: coalesce(
+                       octet_length(encode(x)) || ':' || x, '-')), '')) AS leaf,
+                   CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN sha256(array_to_string(list_transform(
+                       [v[1], v[2], v[3], CAST(n_chars + 1 AS VARCHAR), v[5]],
+                       lambda x: coalesce(octet_length(encode(x)) || ':' || x, '-')), '')) END AS altered,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place
+            FROM fields
+        ), levels(lang, height, nodes) AS (
+            SELECT lang, 0, list(leaf ORDER BY place) FROM leaves GROUP BY lang
+            UNION ALL
+            SELECT lang, height + 1, list_transform(range((len(nodes) + 1) // 2),
+                   lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+            FROM levels WHERE len(nodes) > 1
+        ), subroots AS (
+            SELECT lang, height AS top, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+            FROM levels WHERE len(nodes) = 1
+        ), tops(height, nodes) AS (
+            SELECT 0, list(subroot ORDER BY tree) FROM subroots
+            UNION ALL
+            SELECT height + 1, list_transform(range((len(nodes) + 1) // 2),
+                   lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+            FROM tops WHERE len(nodes) > 1
+        ), places AS (
+            SELECT l.doc_id, v.height, l.place >> v.height AS i, v.nodes
+            FROM leaves l JOIN levels v ON l.lang IS NOT DISTINCT FROM v.lang WHERE len(v.nodes) > 1
+            UNION ALL
+            SELECT l.doc_id, 1000 + t.height, s.tree >> t.height, t.nodes
+            FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang, tops t WHERE len(t.nodes) > 1
+        ), steps AS (
+            SELECT doc_id, height, CASE WHEN i % 2 = 1 THEN 'L' ELSE 'R' END AS side,
+                   coalesce(nodes[CASE WHEN i % 2 = 1 THEN i ELSE i + 2 END], '') AS beside
+            FROM places
+        ), paths AS (
+            SELECT doc_id, list(side || beside ORDER BY height) AS path,
+                   string_agg(beside, '' ORDER BY height) AS proof
+            FROM steps GROUP BY doc_id
+        )
+        SELECT *, folded_root = root AS verified FROM (
+            SELECT l.doc_id, l.leaf, s.subroot, t.nodes[1] AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+                   list_reduce([coalesce(l.altered, l.leaf)] || coalesce(p.path, []), lambda a, b:
+                       sha256(CASE WHEN b[1] = 'L' THEN b[2:] || a ELSE a || b[2:] END)) AS folded_root
+            FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+            LEFT JOIN paths p USING (doc_id), tops t
+            WHERE len(t.nodes) = 1
+        ) x""",
 }

@@ -151,3 +151,139 @@ def near_components(prints: list[tuple[int, int]], distance: int = 2) -> dict[in
         r = find(place[f])
         least[r] = min(doc_id, least.get(r, doc_id))
     return {doc_id: least[find(place[f])] for doc_id, f in prints}
+
+
+def merkle(docs: list[tuple]) -> dict:
+    """Of rows (doc_id, source, lang, n_chars, text) with ids of their own: doc_id -> the proof's columns."""
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf = lambda row: sha("".join(map(field, row)))
+
+    def tree(nodes: list[str]) -> list[list[str]]:
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            last = levels[-1]
+            levels.append([sha("".join(last[i : i + 2])) for i in range(0, len(last), 2)])
+        return levels
+
+    def path(levels: list[list[str]], at: int) -> list[tuple[list[str], list[str]]]:
+        steps = []
+        for level in levels[:-1]:
+            run = at - at % 2
+            steps.append((level[run:at], level[at + 1 : run + 2]))
+            at //= 2
+        return steps
+
+    langs = sorted({r[2] for r in docs}, key=lambda v: (v is not None, (v or "").encode()))
+    rows = {lang: sorted(r for r in docs if r[2] == lang) for lang in langs}
+    trees = {lang: tree([leaf(r) for r in rows[lang]]) for lang in langs}
+    top = tree([trees[lang][-1][0] for lang in langs])
+    root, out = top[-1][0], {}
+    for g, lang in enumerate(langs):
+        for i, row in enumerate(rows[lang]):
+            steps = path(trees[lang], i) + path(top, g)
+            changed = zlib.crc32(str(row[0]).encode()) % 7 == 0 and row[3] is not None
+            folded = leaf((*row[:3], row[3] + 1, row[4]) if changed else row)
+            for left, right in steps:
+                folded = sha("".join([*left, folded, *right]))
+            proof = sha("".join(d for left, right in steps for d in (*left, *right)))
+            out[row[0]] = (leaf(row), trees[lang][-1][0], root, proof, folded, folded == root)
+    return out
+
+
+ROLE_NAMES = {"u": "user", "a": "assistant"}
+
+
+def damaged_turns(rows: list[tuple]) -> dict:
+    """conv_id -> its rows (turn, role, text) after damage, in order."""
+    blank = lambda v: " " if v is None else v
+    out: dict = {}
+    for conv, turn, role, text in rows:
+        role, text, own = blank(role), blank(text), out.setdefault(conv, [])
+        kind = zlib.crc32(f"{blank(conv)}:{blank(turn)}".encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        own += [] if kind == 0 else [(turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.sha256(r[2].encode()).digest())
+    return {conv: sorted(own, key=order) for conv, own in out.items()}
+
+
+def turn_faults(turns: list[tuple]) -> list[str]:
+    seen, out = set(), []
+    for _, role, text in turns:
+        visible = text.strip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not visible else "duplicate" if (role, text) in seen else "truncated" if visible[-1] not in ".!?" else ""
+        out.append(fault)
+        seen.add((role, text))
+    return out
+
+
+def all_repairs(turns: list[tuple], most: int = 2):
+    """(cost, audit, repaired) of all edits with at most so many turns inserted in one place."""
+    marks = turn_faults(turns)
+
+    def go(at: int, roles: str, cost: int, audit: str, done: list, room: int):
+        if not re.fullmatch("(s?(ua)*u?)", roles):
+            return
+        if at == len(turns) and re.fullmatch("(s?(ua)+)?", roles):
+            yield cost, audit, done
+        if room:
+            for r, name in ROLE_NAMES.items():
+                yield from go(at, roles + r, cost + 2, audit + "I", [*done, f"{name}:"], room - 1)
+        if at < len(turns):
+            _, role, text = turns[at]
+            yield from go(at + 1, roles, cost + 3, audit + "D", done, most)
+            if marks[at] not in ("blank", "duplicate"):
+                more = marks[at] == "truncated"
+                yield from go(at + 1, roles + (role[:1] or "-"), cost + more, audit + "K", [*done, f"{role}:{text}"], most)
+                for r, name in ROLE_NAMES.items():
+                    yield from go(at + 1, roles + r, cost + 2 + more, audit + "R", [*done, f"{name}:{text}"], most)
+
+    return go(0, "", 0, "", [], most)
+
+
+def cheapest_repair(turns: list[tuple]) -> tuple[int, str, list[str]]:
+    """Cheapest paths turn by turn, with every path of least (cost, audit) for each role that may come next."""
+    marks = turn_faults(turns)
+    # What the roles so far are: "" none, s, u (assistant is due), a (complete).
+    after = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    best = {"": (0, "", [])}
+
+    def better(into: dict, state, path) -> bool:
+        if state is not None and (state not in into or path[:2] < into[state][:2]):
+            into[state] = path
+            return True
+        return False
+
+    def insert(states: dict) -> dict:
+        changed = True
+        while changed:
+            changed = False
+            for state, (cost, audit, done) in list(states.items()):
+                for r, name in ROLE_NAMES.items():
+                    changed |= better(states, after.get((state, r)), (cost + 2, audit + "I", [*done, f"{name}:"]))
+        return states
+
+    for (_, role, text), mark in zip(turns, marks, strict=True):
+        new: dict = {}
+        more = mark == "truncated"
+        for state, (cost, audit, done) in insert(best).items():
+            better(new, state, (cost + 3, audit + "D", done))
+            if mark not in ("blank", "duplicate"):
+                better(new, after.get((state, role[:1])), (cost + more, audit + "K", [*done, f"{role}:{text}"]))
+                for r, name in ROLE_NAMES.items():
+                    better(new, after.get((state, r)), (cost + 2 + more, audit + "R", [*done, f"{name}:{text}"]))
+        best = new
+    best = insert(best)
+    return min(best[s] for s in ("", "a") if s in best)
+
+
+def repaired_conversations(rows: list[tuple]) -> dict:
+    out = {}
+    for conv, turns in damaged_turns(rows).items():
+        marks, known = turn_faults(turns), [t[0] for t in turns if t[0] is not None]
+        initials = [t[1][:1] for t in turns]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+        gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+        cost, audit, done = cheapest_repair(turns)
+        counts = [marks.count(m) for m in ("blank", "duplicate", "truncated")]
+        out[conv] = (gaps, *counts, illegal, cost, audit, sha("\n".join(done)))
+    return out
