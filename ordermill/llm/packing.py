@@ -11,8 +11,8 @@ to fill up the fullest, pieces being cut where needed; what is left, less than o
 lengths are powers of two, which need no padding. The same closing happens earlier when more than `MOST_OPEN` windows are
 open, which bounds memory (`MOST_OPEN` windows of 4 bytes a token).
 
-Tokens: those of a `tokenizers` file, whose text is broadcast, then one id that ends a document. Texts are cut at single
-blanks between other characters, where the pre-tokenizer of a byte-level BPE always cuts too, and pieces already seen are
+Tokens: those of a `tokenizers` file, whose text is broadcast, then one id that ends a document. Texts are cut before white
+space that follows another character, where the pre-tokenizer of a byte-level BPE always cuts too, and pieces already seen are
 looked up, so that only new ones are tokenised; the ids are those of the whole text (tested). Strings of special tokens
 in a text are ordinary text.
 
@@ -24,7 +24,9 @@ write it down before it is used twice, as sequence numbers depend on how rows ar
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -41,7 +43,7 @@ travels(__name__)
 WINDOW = 2048
 END = 1
 MOST_OPEN = 4096
-KNOWN_PIECES = 1 << 18
+KNOWN_PIECES = 1 << 20
 KNOWN_CHARS = 64  # longer pieces are not kept
 CHARS_AT_ONCE = 1 << 20
 COLUMNS = {
@@ -52,16 +54,10 @@ COLUMNS = {
 Piece = tuple  # (document, tokens of the document, start, ids)
 
 
-def at_blanks(text: str) -> list[str]:
-    """The text cut before each blank that follows a character other than white space."""
-    out: list[str] = []
-    for i, part in enumerate(text.split(" ")):
-        part = " " + part if i else part
-        if out and (not out[-1] or out[-1][-1].isspace()):
-            out[-1] += part
-        else:
-            out.append(part)
-    return out
+# Characters that Unicode calls white space, as the pre-tokenizer does.
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# A text cut before white space that follows another character.
+_PIECES = re.compile(rf"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 
 
 class Tokens:
@@ -81,18 +77,19 @@ class Tokens:
         return shared.value["tokens"]
 
     def encode(self, texts: Iterable[str], end: int = END) -> list[np.ndarray]:
-        cut = [at_blanks(text) for text in texts]
+        cut = [_PIECES.findall(text) for text in texts]
         if len(self.known) > KNOWN_PIECES:
             self.known = {}
-        new = list({piece for pieces in cut for piece in pieces if piece not in self.known})
+        known, last = self.known, array("I", [end]).tobytes()
+        new = list(set().union(*cut).difference(known))
         encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((piece, np.array(e.ids, "<u4").tobytes()) for piece, e in zip(new, encoded, strict=True))
-        known, last = self.known, np.array([end], "<u4").tobytes()
-        out = [np.frombuffer(b"".join([*map(known.__getitem__, pieces), last]), "<u4") for pieces in cut]
+        known.update(zip(new, (array("I", e.ids).tobytes() for e in encoded), strict=True))
+        ids_of = known.__getitem__
+        own = [np.frombuffer(b"".join(map(ids_of, pieces)) + last, np.uint32) for pieces in cut]
         for piece in new:
             if len(piece) > KNOWN_CHARS:
                 del known[piece]
-        return out
+        return [ids.astype("<u4", copy=False) for ids in own]
 
 
 class Packer:
