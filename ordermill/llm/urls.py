@@ -1,7 +1,7 @@
 """URL rules by host suffix and path prefix, looked up by hash.
 
-A URL is expanded into every host suffix at a label boundary times every path prefix of a length that some rule
-has. Expressions meet rules on the first digits of their SHA-256 digest, the whole digest confirms the meeting,
+A URL is expanded into the host suffixes of as many labels as some rule has times the path prefixes of a length that
+some rule has, which are all that can meet a rule; their number depends on the rules, not on the URL. Expressions meet rules on the first digits of their SHA-256 digest, the whole digest confirms the meeting,
 and the longest rule decides. Rules are broadcast while their text is at most `BROADCAST_BYTES`; beyond that the join
 shuffles, and a hot expression is split by the adaptive skew join.
 
@@ -40,12 +40,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, path
 
 
-def expressions(host: Column, path: Column, lengths: Column) -> Column:
+def expressions(host: Column, path: Column, label_counts: Column, lengths: Column) -> Column:
     """Array of (host suffix, path prefix) that a rule for this URL can have."""
-    labels = F.split(host, r"\.")
+    n_labels = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+        F.filter(label_counts, lambda n: n <= n_labels), lambda n: F.call_function("substring_index", host, F.lit("."), -n)
     )
     prefixes = F.transform(F.filter(lengths, lambda n: n <= F.length(path)), lambda n: F.substring(path, F.lit(1), n))
     return F.flatten(
@@ -70,13 +69,16 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
     size = F.sum(F.octet_length("rule_host") + F.octet_length("rule_path") + 256)
     if (rules.agg(size).first()[0] or 0) <= BROADCAST_BYTES:
         known = F.broadcast(known)
-    lengths = F.array_sort(F.collect_set(F.length("rule_path")))
-    path_lengths = rules.agg(F.coalesce(lengths, F.array().cast("array<int>")).alias("n")).scalar()
+    n_labels = F.size(F.split("rule_host", r"\."))
+    counts, lengths = (
+        rules.agg(F.array_sort(F.collect_set(n)).alias("n")).scalar() for n in (n_labels, F.length("rule_path"))
+    )
     host, path = host_and_path(F.col("url"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
-    parts = parts.withColumn("row", F.monotonically_increasing_id()).withColumn("lengths", path_lengths)
+    parts = parts.withColumns({"row": F.monotonically_increasing_id(), "counts": counts, "lengths": lengths})
+    of_url = expressions(*map(F.col, ("host", "path", "counts", "lengths")))
     looked_up = (
-        parts.withColumn("e", F.explode_outer(expressions(F.col("host"), F.col("path"), F.col("lengths"))))
+        parts.withColumn("e", F.explode_outer(of_url))
         .withColumn("digest", _digest(F.col("e.h"), F.col("e.p")))
         .withColumn("prefix", F.substring("digest", 1, PREFIX_DIGITS))
         .join(known, "prefix", "left")
