@@ -65,6 +65,14 @@ def create_text(spark: SparkSession, path: str, text: str) -> None:
         raise
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, replacing an older one."""
+    fs, target = _file_system(spark, path), _path(spark, path)
+    stream = fs.create(target, True)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+
+
 def only_match(spark: SparkSession, pattern: str) -> str:
     """The one file or folder that fits a pattern; the pattern itself when there is none."""
     found = _file_system(spark, pattern).globStatus(_path(spark, pattern)) or []

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermill.jobs import run_all
 from ordermill.schemas import SERVING_CONTRACT, SERVING_ORDER
-from ordermill.sources.files import file_inventory, move_single_part
+from ordermill.sources.files import create_text, file_inventory, list_names, move_single_part, read_text
 from ordermill.sources.raw import row_counts
 
 
@@ -48,24 +51,39 @@ def export_table(df: DataFrame, name: str, folder: str) -> str:
     return f"{folder}/{name}.csv"
 
 
+def current_set(spark: SparkSession, folder: str) -> str:
+    """The folder of the files that were made visible last."""
+    names = list_names(spark, f"{folder}/published")
+    if not names:
+        raise FileNotFoundError(f"nothing was exported to {folder}")
+    return f"{folder}/sets/{json.loads(read_text(spark, f'{folder}/published/{names[-1]}'))['set']}"
+
+
 def export_all(tables: Mapping[str, DataFrame], folder: str) -> list[str]:
-    """Export every table. One that fails does not stop the others; all failures are raised at the end."""
-    done, failed = [], []
-    for name, df in tables.items():
-        try:
-            done.append(export_table(df, name, folder))
-        except Exception as error:  # noqa: BLE001 - any failure of one table is reported
-            error.add_note(f"while exporting {name}")
-            failed.append(error)
-    if failed:
-        raise ExceptionGroup(f"{len(failed)} of {len(tables)} tables were not exported", failed)
-    return done
+    """Export all tables as one set of files that becomes visible in one step.
+
+        <folder>/sets/<id>/<name>.csv     the files of one export
+        <folder>/published/<n>.json       names the set to read; the last one counts
+
+    The files are written side by side into a set of their own; a table that fails stops the others, and readers
+    keep the set they had. Older sets stay until someone removes them.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    number = uuid.uuid4().hex
+    staged = f"{folder}/sets/{number}"
+    tasks = {name: lambda df=df, name=name: export_table(df, name, staged) for name, df in tables.items()}
+    files = run_all(spark, tasks)
+    names = list_names(spark, f"{folder}/published")
+    last = int(names[-1].partition(".")[0]) + 1 if names else 0
+    create_text(spark, f"{folder}/published/{last:012d}.json", json.dumps({"set": number, "files": sorted(tables)}))
+    return list(files.values())
 
 
 def read_serving(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The exported tables by name, with the contract types (months stay text)."""
+    """The exported tables by name, with the contract types (months stay text), all of one export."""
+    files = current_set(spark, folder)
     return {
-        name: spark.read.schema(ddl).option("header", True).csv(f"{folder}/{name}.csv")
+        name: spark.read.schema(ddl).option("header", True).csv(f"{files}/{name}.csv")
         for name, ddl in SERVING_CONTRACT.items()
     }
 
@@ -75,4 +93,4 @@ def export_report(spark: SparkSession, folder: str) -> DataFrame:
     counts = row_counts(read_serving(spark, folder)).select(
         F.concat("table_name", F.lit(".csv")).alias("file_name"), "rows"
     )
-    return file_inventory(spark, f"{folder}/*.csv").join(F.broadcast(counts), "file_name")
+    return file_inventory(spark, f"{current_set(spark, folder)}/*.csv").join(F.broadcast(counts), "file_name")

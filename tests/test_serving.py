@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
@@ -51,23 +52,35 @@ def sample(spark):
 
 def test_round_trip_replace_and_report(spark, tmp_path):
     tables, folder = sample(spark), str(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        serving.read_serving(spark, folder)
     for _ in range(2):
         assert len(serving.export_all(tables, folder)) == 5
     for name, df in serving.read_serving(spark, folder).items():
         assert df.collect() == tables[name].collect()
-    assert "2026-04-04 02:20:31.365233" in (tmp_path / "kpi_global.csv").read_text()
+    files = Path(serving.current_set(spark, folder))
+    assert sorted(p.name for p in files.glob("*.csv")) == sorted(f"{name}.csv" for name in SERVING_CONTRACT)
+    assert "2026-04-04 02:20:31.365233" in (files / "kpi_global.csv").read_text()
     report = {r["file_name"]: (r["bytes"], r["rows"]) for r in serving.export_report(spark, folder).collect()}
     assert len(report) == 5
-    assert report["kpi_nps.csv"] == ((tmp_path / "kpi_nps.csv").stat().st_size, 1)
+    assert report["kpi_nps.csv"] == ((files / "kpi_nps.csv").stat().st_size, 1)
 
 
-def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
-    tables = sample(spark)
-    first = next(iter(tables))
-    tables[first] = tables[first].drop("total_orders")
-    with pytest.raises(ExceptionGroup, match="1 of 5 tables"):
-        serving.export_all(tables, str(tmp_path))
-    assert len(list(tmp_path.glob("*.csv"))) == 4
+def test_a_failing_table_leaves_the_files_of_the_last_export(spark, tmp_path):
+    tables, folder = sample(spark), str(tmp_path)
+    serving.export_all(tables, folder)
+    before = serving.current_set(spark, folder)
+    changed = {name: df.unionByName(df) for name, df in tables.items()}
+    third = list(tables)[2]
+    changed[third] = tables[third].drop(SERVING_CONTRACT[third].split()[0])
+    with pytest.raises(ExceptionGroup, match="tasks failed") as failure:
+        serving.export_all(changed, folder)
+    assert any("lacks contract columns" in str(e) for e in failure.value.exceptions)
+    assert serving.current_set(spark, folder) == before
+    assert {r["rows"] for r in serving.export_report(spark, folder).collect()} == {1}
+    serving.export_all({name: df.unionByName(df) for name, df in tables.items()}, folder)
+    assert serving.current_set(spark, folder) != before
+    assert {r["rows"] for r in serving.export_report(spark, folder).collect()} == {2}
 
 
 def test_export_does_not_round(spark, tmp_path):
