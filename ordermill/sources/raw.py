@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Collection, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermill.jobs import run_all
 from ordermill.schemas import RAW_FILES, RAW_SCHEMAS
 from ordermill.sources.files import only_match
+from ordermill.sources.records import read_records
 from ordermill.sources.tables import table_exists, write_table
 
-# Review texts hold line breaks. A multi-line file is read by one task, so the others stay splittable; a line
-# break in one of those shows up as rejected rows, and callers can name more tables.
+log = logging.getLogger(__name__)
+
+# Review texts hold line breaks, so their records are put together from lines first (see `records`). A line break in
+# another table shows up as rejected rows; callers can name more tables.
 MULTI_LINE_TABLES = frozenset({"order_reviews"})
 
 REPORT_SCHEMA = "table_name STRING, rows BIGINT, rejected BIGINT, error STRING"
@@ -22,6 +27,22 @@ REPORT_SCHEMA = "table_name STRING, rows BIGINT, rejected BIGINT, error STRING"
 REASON = "_rejected_for"
 _LINE = "_corrupt_record"
 _EXACT = "decimal(38,18)"
+_CSV = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": _LINE}
+
+
+def _cells_of_records(records: DataFrame, as_text: T.StructType) -> DataFrame:
+    """Cells of records that may hold line breaks. A header that does not name the columns stops the job, as it
+    does when Spark reads the file."""
+    options = {**{k: str(v) for k, v in _CSV.items()}, "multiLine": "true", "lineSep": "\n"}
+    names = [f.name for f in as_text.fields if f.name != _LINE]
+    bare = F.regexp_replace("record", "\\A\ufeff", "")
+    cells = records.select("is_header", F.from_csv(bare, as_text.simpleString()[7:-1].replace(":", " "), options).alias("c"))
+    same = F.col(f"c.{_LINE}").isNull()
+    for name in names:
+        same &= F.lower(f"c.{name}").eqNullSafe(name.lower())
+    wrong = F.raise_error(F.lit(f"CSV header does not name the columns {', '.join(names)}"))
+    kept = F.when(F.col("is_header"), F.when(same, False).otherwise(wrong.cast("boolean"))).otherwise(True)
+    return cells.filter(kept).select("c.*")
 
 
 def parse_raw_csv(
@@ -35,18 +56,11 @@ def parse_raw_csv(
     """
     fields = T.StructType.fromDDL(RAW_SCHEMAS[table]).fields
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in fields]).add(_LINE, "string")
-    lines = (
-        spark.read.schema(as_text)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("columnPruning", False)
-        .option("columnNameOfCorruptRecord", _LINE)
-        .option("encoding", "UTF-8")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", table in multi_line)
-        .csv(path)
-    )
+    if table in multi_line:
+        lines = _cells_of_records(read_records(spark, path), as_text)
+    else:
+        header = {"header": True, "enforceSchema": False, "columnPruning": False, "encoding": "UTF-8"}
+        lines = spark.read.schema(as_text).options(**header, **_CSV).csv(path)
 
     def bad(field: T.StructField) -> Column:
         cell, kind = F.col(field.name), field.dataType
@@ -109,17 +123,22 @@ def ingest_all(
     files: Mapping[str, str] = RAW_FILES,
     multi_line: Collection[str] = MULTI_LINE_TABLES,
 ) -> DataFrame:
-    """Ingest every table; one that fails is reported and does not stop the others.
+    """Ingest the tables side by side; one that fails is reported (its cause is logged) and does not stop the others.
 
     A pattern must match one file or folder: with a second one, say a copy, rows would count twice.
     """
+
+    def ingest(table: str, pattern: str) -> tuple[int, int]:
+        return ingest_counted(spark, only_match(spark, f"{folder}/{pattern}"), table, bronze, multi_line)
+
+    tasks = {table: lambda table=table, pattern=pattern: ingest(table, pattern) for table, pattern in files.items()}
     report = []
-    for table, pattern in files.items():
-        try:
-            path = only_match(spark, f"{folder}/{pattern}")
-            report.append((table, *ingest_counted(spark, path, table, bronze, multi_line), None))
-        except Exception as error:  # noqa: BLE001 - any failure of one table is reported
-            report.append((table, None, None, str(error).splitlines()[0]))
+    for table, found in run_all(spark, tasks, stop_on_failure=False).items():
+        if isinstance(found, Exception):
+            log.error("table %s was not ingested", table, exc_info=found)
+            report.append((table, None, None, (str(found) or type(found).__name__).splitlines()[0]))
+        else:
+            report.append((table, *found, None))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
