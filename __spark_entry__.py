@@ -6,7 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from ordermill.plans.silver import build_silver, enrich_orders, flagged_versions
 from ordermill.session import scratch_dir  # noqa: E402
 from ordermill.sources import raw as raw_files  # noqa: E402
 from ordermill.sources import serving, tables  # noqa: E402
-from ordermill.streaming import apply, events, ingest  # noqa: E402
+from ordermill.streaming import apply, dedup, events, ingest, progress  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,6 +131,29 @@ def ingest_rejects(spark, sf_dir):
     )
 
 
+@query
+def csv_reviews(spark, sf_dir):
+    """Reviews as CSV files with line breaks, commas and quotes in cells, and rows with too few cells; those of the
+    stored table, and the rejected ones with the reason."""
+    folder, number = scratch_dir(spark, "reviews"), F.col("review_id").cast("bigint")
+    message = F.when(number % 3 == 0, F.concat(F.lit('first "line",\nsecond\n\n'), F.col("review_id").cast("string"))).when(
+        number % 3 == 1, F.lit('said "hi", left')
+    )
+    reviews = _raw(spark, sf_dir)["order_reviews"].withColumn("review_comment_message", message)
+    names = T.StructType.fromDDL(raw_files.RAW_SCHEMAS["order_reviews"]).names
+    cells = [F.col(n).cast("string").alias(n) for n in names]
+    record = F.when(number % 101 == 7, F.concat_ws(",", *cells[:2])).otherwise(F.to_csv(F.struct(*cells), {"escape": '"'}))
+    # Each file begins with the header.
+    begins = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)) == 0
+    lines = reviews.select(F.concat(F.when(begins, ",".join(names) + "\n").otherwise(""), record).alias("value"))
+    lines.write.text(f"{folder}/raw")
+    raw_files.ingest_counted(spark, f"{folder}/raw", "order_reviews", f"{folder}/bronze")
+    columns = ["review_id", "order_id", "review_score", "review_comment_message"]
+    stored = tables.read_table(spark, f"{folder}/bronze/order_reviews").select(*columns, F.lit("").alias("reason"))
+    aside = tables.read_table(spark, raw_files.rejected_path(f"{folder}/bronze", "order_reviews"))
+    return stored.unionByName(aside.select(*columns, F.col(raw_files.REASON).alias("reason")))
+
+
 def _stored_gold(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
     root = scratch_dir(spark, "layers")
     silver = pipeline.refresh_silver(spark, _raw(spark, sf_dir), root)
@@ -196,17 +219,21 @@ def order_events(spark, sf_dir):
 # --- streaming
 
 
-def _send(payload: DataFrame, folder: str) -> None:
-    """Messages with the envelope of a broker, as files."""
+def _messages(payload: DataFrame, time: Column | None = None) -> DataFrame:
+    """Messages with the envelope of a broker."""
     number = F.col("order_id").cast("bigint")
-    messages = events.to_messages(
+    time = F.to_timestamp("order_purchase_ts") if time is None else time
+    return events.to_messages(
         payload,
         F.lit("orders").alias("topic"),
         (number % 3).cast("int").alias("partition"),
         number.alias("offset"),
-        F.to_timestamp("order_purchase_ts").alias("timestamp"),
+        time.alias("timestamp"),
     )
-    events.publish(messages, "parquet", path=folder)
+
+
+def _send(payload: DataFrame, folder: str, time: Column | None = None) -> None:
+    events.publish(_messages(payload, time), "parquet", path=folder)
 
 
 @query
@@ -218,6 +245,60 @@ def stream_ingest(spark, sf_dir):
     return plain(ingest.read_ingested(spark, f"{root}/bronze").drop("bronze_ingested_at"))
 
 
+@query
+def stream_dedup(spark, sf_dir):
+    """All messages, then all of them again two hours later, to a stream that was stopped in between."""
+    root = scratch_dir(spark, "repeats")
+    payload = _events(spark, sf_dir)
+    seconds = (F.col("order_id").cast("bigint") % 3600).cast("int")
+    start = F.lit("2026-01-01").cast("timestamp") + F.make_dt_interval(secs=seconds)
+    for time in (start, start + F.expr("INTERVAL 2 HOURS")):
+        _send(payload, f"{root}/in", time)
+        parsed = ingest.parse_messages(ingest.file_source(spark, f"{root}/in", max_files=4))
+        stream = ingest.start_ingest(dedup.distinct_events(parsed), f"{root}/bronze", f"{root}/checkpoint", None)
+        stream.awaitTermination()
+    return plain(ingest.read_ingested(spark, f"{root}/bronze").drop("bronze_ingested_at"))
+
+
+@query
+def stream_schema_merge(spark, sf_dir):
+    """A producer that first sends the declared fields, then two more, and counts beyond a 32-bit integer; all are read
+    under a schema declared later."""
+    root, number = scratch_dir(spark, "evolved"), F.col("order_id").cast("bigint")
+    payload = _events(spark, sf_dir)
+    coupon = F.struct(F.concat(F.lit("C"), "order_id").alias("code"), (number % 100).cast("decimal(5,2)").alias("pct"))
+    wider = payload.filter(number % 2 == 0).withColumns(
+        {
+            "channel": F.when(number % 3 == 0, "web").otherwise("shop"),
+            "coupon": F.when(number % 4 == 0, coupon),
+            "item_count": F.col("item_count").cast("long") + F.when(number % 5 == 0, 3 * 10**9).otherwise(0),
+        }
+    )
+    for sent in (payload.filter(number % 2 == 1), wider):
+        _send(sent, f"{root}/in")
+        parsed = ingest.parse_messages(ingest.file_source(spark, f"{root}/in"), keep_unknown=True)
+        ingest.start_ingest(parsed, f"{root}/bronze", f"{root}/checkpoint", None).awaitTermination()
+    evolved = "channel STRING, item_count BIGINT, coupon STRUCT<code: STRING, pct: DECIMAL(5,2)>"
+    read = ingest.read_ingested(spark, f"{root}/bronze", evolved)
+    code, pct = F.col("coupon.code").alias("coupon_code"), F.col("coupon.pct").cast("double").alias("coupon_pct")
+    return read.select("event_id", "order_id", "item_count", "channel", code, pct)
+
+
+@query
+def stream_progress(spark, sf_dir):
+    """The log of three batches, with messages that are no JSON or have no order id among them."""
+    root, number = scratch_dir(spark, "progress"), F.col("key").cast("bigint")
+    broken = F.when(number % 17 == 0, "{broken").when(number % 19 == 0, '{"event_id": "x"}').otherwise(F.col("value"))
+    messages = _messages(_events(spark, sf_dir)).withColumn("value", broken)
+    with progress.ProgressLog(spark, f"{root}/progress"):
+        for wave in range(3):
+            events.publish(messages.filter(number % 3 == wave), "parquet", path=f"{root}/in")
+            parsed = progress.observed_messages(ingest.file_source(spark, f"{root}/in"))
+            ingest.start_ingest(parsed, f"{root}/bronze", f"{root}/checkpoint", None).awaitTermination()
+    log = progress.read_progress(spark, f"{root}/progress")
+    return log.select("batch_id", "rows_in", "unreadable", "without_id", "stored")
+
+
 @query
 def stream_upsert(spark, sf_dir):
     """Three messages per order: the final state arrives before an earlier one, then shipped orders are
@@ -395,6 +476,14 @@ def silver_metrics(spark, sf_dir):
     )
 
 
+@query
+def orders_enriched_bucketed(spark, sf_dir):
+    """From raw tables that were stored by order."""
+    raw = _raw(spark, sf_dir)
+    stored = pipeline.store_by_order(spark, raw, f"{scratch_dir(spark, 'buckets')}/bronze")
+    return plain(enrich_orders({**raw, **stored}).drop("bronze_ingested_at"))
+
+
 # --- quality
 
 
@@ -454,6 +543,28 @@ for _name in ("kpi_monthly", "kpi_category", "kpi_nps", "kpi_seller_state"):
     QUERIES[_name] = _kpi(_name)
 
 
+def _incremental(table: str) -> Query:
+    """A KPI table after a first load and two batches, refreshed by their differences alone: orders that are delivered and
+    move to another month, then orders that are canceled, and others, all of the first month among them, removed."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw, root = _raw(spark, sf_dir), scratch_dir(spark, "incremental")
+        orders, number, placed = raw["orders"], F.col("order_id"), F.col("order_purchase_timestamp")
+        pipeline.apply_updates(spark, raw, root)
+        moved = {"order_status": F.lit("delivered"), "order_purchase_timestamp": placed + F.expr("INTERVAL 40 DAYS")}
+        pipeline.apply_updates(spark, {**raw, "orders": orders.filter(number % 7 == 0).withColumns(moved)}, root)
+        canceled = orders.filter(number % 13 == 0).withColumn("order_status", F.lit("canceled"))
+        first = orders.agg(F.min(F.date_format(placed, "yyyy-MM"))).scalar()
+        gone = orders.filter((number % 11 == 0) | (F.date_format(placed, "yyyy-MM") == first)).select("order_id")
+        return pipeline.apply_updates(spark, {**raw, "orders": canceled}, root, deleted=gone)[table]
+
+    return build
+
+
+for _name in ("kpi_monthly", "kpi_category", "kpi_seller_state"):
+    QUERIES[f"{_name}_incremental"] = _incremental(_name)
+
+
 @query
 def kpi_monthly_passed(spark, sf_dir):
     return gold.kpi_monthly(gold.passed_only(_silver(spark, sf_dir), True))

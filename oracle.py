@@ -253,6 +253,22 @@ updates AS (
     SELECT -o_orderkey - 1, 'created', o_orderdate + to_days(1), o_orderpriority
     FROM orders WHERE o_orderpriority = '1-URGENT')"""
 
+# Orders after two batches of changes: moved and delivered, then canceled or removed.
+CHANGED_SILVER = SILVER.replace("raw_orders AS (", "first_orders AS (", 1).replace(
+    ",\nraw_items AS (",
+    """,
+raw_orders AS (
+    SELECT * REPLACE (
+        CASE WHEN order_id % 13 = 0 THEN 'canceled' WHEN order_id % 7 = 0 THEN 'delivered' ELSE order_status END
+            AS order_status,
+        CASE WHEN order_id % 13 <> 0 AND order_id % 7 = 0 THEN order_purchase_ts + to_days(40) ELSE order_purchase_ts END
+            AS order_purchase_ts)
+    FROM first_orders WHERE order_id % 11 <> 0 AND strftime(order_purchase_ts, '%Y-%m') <>
+        (SELECT strftime(min(order_purchase_ts), '%Y-%m') FROM first_orders)),
+raw_items AS (""",
+    1,
+)
+
 # Exported tables: what names a row, and its figures.
 SERVED = {
     "kpi_global": (
@@ -312,6 +328,16 @@ ORACLE = {
             payment_installments, CAST(payment_value AS DOUBLE) AS payment_value,
             'batch_csv/order_payments' AS _source FROM raw_payments""",
     ),
+    "csv_reviews": _over(
+        RAW,
+        """SELECT CAST(review_id AS VARCHAR) AS review_id, CAST(order_id AS VARCHAR) AS order_id,
+            CASE WHEN review_id % 101 <> 7 THEN review_score END AS review_score,
+            CASE WHEN review_id % 101 = 7 THEN NULL
+                 WHEN review_id % 3 = 0 THEN 'first "line",' || chr(10) || 'second' || chr(10) || chr(10) || review_id
+                 WHEN review_id % 3 = 1 THEN 'said "hi", left' END AS review_comment_message,
+            CASE WHEN review_id % 101 = 7 THEN 'number of cells' ELSE '' END AS reason
+        FROM raw_reviews""",
+    ),
     "serving_export": _over(
         GOLD,
         " UNION ALL ".join(
@@ -355,6 +381,31 @@ ORACLE = {
             CAST(order_purchase_ts AS TIMESTAMP) AS kafka_timestamp
         FROM payload""",
     ),
+    "stream_dedup": _over(
+        EVENTS,
+        f"""SELECT order_id || '_' || sha256({EVENT_CONTENT}) AS event_id, {EVENT_COLUMNS},
+            'orders' AS kafka_topic, CAST(CAST(order_id AS BIGINT) % 3 AS INTEGER) AS kafka_partition,
+            CAST(order_id AS BIGINT) AS kafka_offset,
+            TIMESTAMP '2026-01-01' + to_seconds(CAST(order_id AS BIGINT) % 3600) AS kafka_timestamp
+        FROM payload""",
+    ),
+    "stream_schema_merge": _over(
+        EVENTS,
+        f"""SELECT order_id || '_' || sha256({EVENT_CONTENT}) AS event_id, order_id,
+            CAST(item_count + CASE WHEN CAST(order_id AS BIGINT) % 10 = 0 THEN 3000000000 ELSE 0 END AS BIGINT)
+                AS item_count,
+            CASE WHEN CAST(order_id AS BIGINT) % 6 = 0 THEN 'web' WHEN CAST(order_id AS BIGINT) % 2 = 0 THEN 'shop' END
+                AS channel,
+            CASE WHEN CAST(order_id AS BIGINT) % 4 = 0 THEN 'C' || order_id END AS coupon_code,
+            CASE WHEN CAST(order_id AS BIGINT) % 4 = 0 THEN CAST(CAST(order_id AS BIGINT) % 100 AS DOUBLE) END AS coupon_pct
+        FROM payload""",
+    ),
+    "stream_progress": """
+        SELECT o_orderkey % 3 AS batch_id, count(*) AS rows_in,
+            count(*) FILTER (WHERE o_orderkey % 17 = 0) AS unreadable,
+            count(*) FILTER (WHERE o_orderkey % 17 <> 0 AND o_orderkey % 19 = 0) AS without_id,
+            count(*) FILTER (WHERE o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0) AS stored
+        FROM orders GROUP BY 1""",
     "stream_upsert": _over(
         STREAM_FINAL,
         """SELECT order_id, order_status, order_purchase_ts, order_delivered_ts, item_count,
@@ -416,6 +467,7 @@ ORACLE = {
     ),
     "reviews_latest": _over(RAW, "SELECT order_id, review_score FROM reviews_latest"),
     "orders_enriched": _over(RAW, f"SELECT {ENRICHED_COLUMNS} FROM enriched"),
+    "orders_enriched_bucketed": _over(RAW, f"SELECT {ENRICHED_COLUMNS} FROM enriched"),
     "silver_metrics": _over(
         SILVER,
         """SELECT order_id, delivery_days_actual, delivery_days_estimated, delivery_delay_days,
@@ -474,6 +526,10 @@ ORACLE = {
         name: _over(GOLD, f"SELECT * FROM {name}")
         for name in ("kpi_global", "kpi_monthly", "kpi_category", "kpi_nps", "kpi_seller_state")
     },
+    **{
+        f"{table}_incremental": _over(f"{CHANGED_SILVER},{gold()}", f"SELECT * FROM {table}")
+        for table in ("kpi_monthly", "kpi_category", "kpi_seller_state")
+    },
     "kpi_monthly_passed": _over(
         f"{SILVER},passed AS (SELECT * FROM silver WHERE dq_passed),{gold('passed')}",
         "SELECT * FROM kpi_monthly",

@@ -14,22 +14,45 @@ DELIVERED_SUMS = ("delivery_days_actual", "delivery_days_estimated", "delivery_d
 PLAIN_SUMS = ("payment_value", "review_score", "freight_ratio", *DELIVERED_SUMS)
 
 
-def totals() -> list[Column]:
-    """Aggregates over Silver: `orders`, `rows`, flag totals, and `<x>_sum` / `<x>_n` per measure."""
+# Decimals wide enough for the measures that are floating-point numbers in Silver.
+EXACT = {"freight_ratio": "decimal(30,15)", "review_score": "decimal(18,6)"}
+# Sums that are null where these counts are zero.
+COUNTED = {"delivered": "status_n", "canceled": "status_n"}
+COUNTED |= {f"{n}_sum": f"{n}_n" for n in (*PLAIN_SUMS, *[f"delivered_{n}" for n in DELIVERED_SUMS])}
+
+
+def totals(exact: bool = False, sign: str | None = None) -> list[Column]:
+    """Aggregates over Silver: `orders`, `rows`, flag totals, and `<x>_sum` / `<x>_n` per measure.
+
+    `exact` sums floating-point measures as decimals (a ratio beyond 15 digits before the point does not count), so that
+    rows can be taken out of a sum again, and adds `status_n`, the rows with a status. `sign` names a column of 1 and -1
+    that tells rows to add from rows to take out.
+    """
     delivered, late = F.col("is_delivered"), F.col("is_late_delivery")
+
+    def signed(value: Column) -> Column:
+        return value if sign is None else F.when(F.col(sign) < 0, -value).otherwise(value)
+
+    def number(condition: Column) -> Column:
+        if sign is None:
+            return F.count(F.when(condition, 1))
+        return F.coalesce(F.sum(F.when(condition, F.col(sign).cast("long"))), F.lit(0).cast("long"))
+
     out = [
-        F.count(F.lit(1)).alias("rows"),
-        F.count("order_id").alias("orders"),
-        F.sum(delivered.cast("int")).alias("delivered"),
-        F.sum(F.col("is_canceled").cast("int")).alias("canceled"),
+        (F.count(F.lit(1)) if sign is None else F.sum(F.col(sign).cast("long"))).alias("rows"),
+        number(F.col("order_id").isNotNull()).alias("orders"),
+        F.sum(signed(delivered.cast("int"))).alias("delivered"),
+        F.sum(signed(F.col("is_canceled").cast("int"))).alias("canceled"),
         # A delivered order whose delay is unknown is not late, so it counts as on time.
-        F.sum(F.when(delivered & ~late, 1).otherwise(0)).alias("on_time"),
-        F.sum(late.cast("int")).alias("late"),
+        F.sum(signed(F.when(delivered & ~late, 1).otherwise(0))).alias("on_time"),
+        F.sum(signed(late.cast("int"))).alias("late"),
     ]
-    sources = {name: F.col(name) for name in PLAIN_SUMS}
+    if exact:
+        out.append(number(delivered.isNotNull()).alias("status_n"))
+    sources = {n: F.col(n).try_cast(EXACT[n]) if exact and n in EXACT else F.col(n) for n in PLAIN_SUMS}
     sources |= {f"delivered_{n}": F.when(delivered, F.col(n)) for n in DELIVERED_SUMS}
     for name, value in sources.items():
-        out += [F.sum(value).alias(f"{name}_sum"), F.count(value).alias(f"{name}_n")]
+        out += [F.sum(signed(value)).alias(f"{name}_sum"), number(value.isNotNull()).alias(f"{name}_n")]
     return out
 
 

@@ -145,7 +145,7 @@ KPI_TABLES = {
 # --- all tables from one scan
 
 
-def _memberships() -> Column:
+def memberships() -> Column:
     """The groups an order belongs to, as (kpi table, group) pairs."""
 
     def pair(table: str, item: Column) -> Column:
@@ -167,9 +167,9 @@ def _memberships() -> Column:
 
 
 def group_totals(silver: DataFrame) -> DataFrame:
-    """Totals of every group of every KPI table, from one scan and one shuffle of partial sums."""
-    rows = silver.withColumn("member", F.explode(_memberships()))
-    return _measured(rows.groupBy("member.table", "member.item"))
+    """Exact totals of every group of every KPI table, from one scan and one shuffle of partial sums."""
+    rows = silver.withColumn("member", F.explode(memberships()))
+    return rows.groupBy("member.table", "member.item").agg(*m.totals(exact=True))
 
 
 def kpi_tables(totals: DataFrame) -> dict[str, DataFrame]:

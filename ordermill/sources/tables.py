@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators.upsert import require_unique, upsert
+from ordermill.sources.buckets import has_even_buckets, read_bucketed, write_bucketed
 from ordermill.sources.files import create_text, list_names, read_text
 
 RUNS_SCHEMA = """
@@ -25,27 +26,39 @@ RUNS_SCHEMA = """
     applied_through BIGINT"""
 
 
+def _run(spark: SparkSession, path: str, name: str) -> dict:
+    run = json.loads(read_text(spark, f"{path}/runs/{name}"))
+    return {**run, "parameters": json.loads(run["parameters"])}
+
+
 def latest_run(spark: SparkSession, path: str) -> dict | None:
     """The newest finished write, or None when there is none."""
     names = list_names(spark, f"{path}/runs")
-    return json.loads(read_text(spark, f"{path}/runs/{names[-1]}")) if names else None
+    return _run(spark, path, names[-1]) if names else None
+
+
+def runs_after(spark: SparkSession, path: str, number: int) -> list[dict]:
+    """The finished writes after one, oldest first."""
+    names = list_names(spark, f"{path}/runs")
+    return [_run(spark, path, name) for name in names if int(name.partition(".")[0]) > number]
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     return latest_run(spark, path) is not None
 
 
-def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """The current state of a table, or an older one by version."""
-    if version is None:
-        run = latest_run(spark, path)
-    else:
-        name = f"{version:012d}.json"
-        known = name in list_names(spark, f"{path}/runs")
-        run = json.loads(read_text(spark, f"{path}/runs/{name}")) if known else None
+def read_run(spark: SparkSession, path: str, run: dict) -> DataFrame:
+    """The state that a write left, for callers that must go on reading what they saw."""
+    folder, buckets = f"{path}/snapshots/{run['folder']}", run["parameters"].get("buckets")
+    return read_bucketed(spark, folder, **buckets) if buckets else spark.read.parquet(folder)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current state of a table."""
+    run = latest_run(spark, path)
     if run is None:
         raise FileNotFoundError(f"no table at {path}")
-    return spark.read.parquet(f"{path}/snapshots/{run['folder']}")
+    return read_run(spark, path, run)
 
 
 def row_count(spark: SparkSession, path: str) -> int:
@@ -66,9 +79,14 @@ def write_table(
     operation: str = "overwrite",
     parameters: dict | None = None,
     applied_through: int | None = None,
+    folder: str | None = None,
+    buckets: tuple[str, int] | None = None,
 ) -> int:
     """Replace the table, schema included, and return the number of rows written.
 
+    `folder` names the new snapshot for callers that leave something of the same name beside it; it must be unique.
+    `buckets` (column, number) writes the rows bucketed and sorted by a column (see `buckets`); a column with a value too
+    frequent for that is refused by writing the table without buckets.
     `applied_through` is the last stream batch the new state holds; by default that of the state before.
 
     Partitioned writes are rebalanced first: small partitions get few files, and a partition that holds
@@ -80,17 +98,23 @@ def write_table(
     version = 0 if last is None else last["version"] + 1
     counted = Observation()
     out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    if buckets and not has_even_buckets(df, *buckets):
+        buckets = None
     if partition_by and spark.conf.get("spark.sql.adaptive.enabled") == "true":
         out = out.hint("rebalance", *partition_by)
-    folder = f"{version:012d}-{uuid.uuid4().hex}"
-    out.write.partitionBy(*partition_by).parquet(f"{path}/snapshots/{folder}")
+    folder = folder or f"{version:012d}-{uuid.uuid4().hex}"
+    if buckets:
+        write_bucketed(out, f"{path}/snapshots/{folder}", *buckets)
+    else:
+        out.write.partitionBy(*partition_by).parquet(f"{path}/snapshots/{folder}")
     rows = counted.get["rows"]
+    in_buckets = {"buckets": {"key": buckets[0], "number": buckets[1], "schema": df.schema.toDDL()}} if buckets else {}
     run = {
         "version": version,
         "folder": folder,
         "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
         "operation": operation,
-        "parameters": json.dumps({"partition_by": list(partition_by), **(parameters or {})}),
+        "parameters": json.dumps({"partition_by": list(partition_by), **in_buckets, **(parameters or {})}),
         "rows": rows,
         "applied_through": -1 if last is None else last["applied_through"],
     }

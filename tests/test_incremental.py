@@ -1,0 +1,135 @@
+"""KPI tables kept by difference equal those of a full computation."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.plans import gold, incremental, star
+from ordermill.plans.silver import build_silver
+from ordermill.sources.tables import latest_run, read_table, write_table
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def silver(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("silver") / "orders")
+    build_silver(star.raw_tables(spark, SF)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def content(df):
+    return sorted(map(repr, df.select(sorted(df.columns)).collect()))
+
+
+def totals_of(silver, only_passed=False):
+    return content(gold.group_totals(gold.passed_only(silver, only_passed)))
+
+
+def changed(silver, seed):
+    """A random tenth of the orders with other values in all that KPIs are made of, nulls among them."""
+    rng = random.Random(seed)
+    some = lambda *values: F.element_at(F.array(*values), F.lit(1) + F.pmod(F.xxhash64("order_id", F.lit(rng.random())), F.lit(len(values))).cast("int"))
+    rows = silver.filter(F.pmod(F.xxhash64("order_id", F.lit(seed)), F.lit(10)) == 0)
+    status = some(F.lit("delivered"), F.lit("canceled"), F.lit("shipped"), F.lit(None))
+    return rows.withColumns(
+        {
+            "order_status": status,
+            "is_delivered": status == "delivered",
+            "is_canceled": status == "canceled",
+            "order_purchase_ts": F.col("order_purchase_ts") + F.make_dt_interval(some(F.lit(0), F.lit(40), F.lit(4000))),
+            "payment_value": some(F.col("payment_value"), F.lit(None), F.col("payment_value") * 2).cast(dict(silver.dtypes)["payment_value"]),
+            "review_score": some(F.lit(None), F.lit(4.0), F.lit(1.0)).cast("float"),
+            "freight_ratio": some(F.col("freight_ratio"), F.lit(None), F.lit(0.1), F.lit(1 / 3)),
+            "categories": some(F.array(F.lit("new")), F.col("categories"), F.array().cast("array<string>")),
+        }
+    )
+
+
+@pytest.mark.parametrize("only_passed", [False, True])
+def test_differences_add_up_to_the_full_totals(spark, silver, tmp_path, only_passed):
+    root = str(tmp_path)
+    incremental.upsert_orders(silver, root)
+    assert incremental.refresh_totals(spark, root, only_passed) == "full"
+    assert incremental.refresh_totals(spark, root, only_passed) == "unchanged"
+    for seed in (1, 2):
+        current = read_table(spark, f"{root}/silver/orders")
+        gone = current.filter(F.pmod(F.xxhash64("order_id", F.lit(-seed)), F.lit(17)) == 0).select("order_id")
+        incremental.upsert_orders(changed(current, seed), root, deleted=gone)
+        if seed == 1:
+            continue  # two change sets at once
+        assert incremental.refresh_totals(spark, root, only_passed) == "difference"
+        assert content(read_table(spark, f"{root}/gold/group_totals")) == totals_of(read_table(spark, f"{root}/silver/orders"), only_passed)
+
+
+def test_upsert_leaves_the_same_silver_as_without_changes(spark, silver, tmp_path):
+    root, key = str(tmp_path), "order_id"
+    incremental.upsert_orders(silver, root)
+    batch = changed(silver, 5).drop("payment_type")
+    incremental.upsert_orders(batch, root)
+    got = read_table(spark, f"{root}/silver/orders")
+    kept = silver.join(batch.select(key), key, "left_anti")
+    assert got.count() == silver.count()
+    assert content(got.join(batch.select(key), key, "left_anti")) == content(kept)
+    old = {r[0]: r[1] for r in silver.select(key, "payment_type").collect()}
+    assert all(old[r[0]] == r[1] for r in got.select(key, "payment_type").collect())
+
+
+def test_a_group_that_loses_all_its_orders_goes(spark, silver, tmp_path):
+    root, month = str(tmp_path), F.date_format("order_purchase_ts", gold.MONTH)
+    incremental.upsert_orders(silver, root)
+    incremental.refresh_totals(spark, root)
+    first = silver.select(F.min(month)).first()[0]
+    incremental.upsert_orders(silver.limit(0), root, deleted=silver.filter(month == first))
+    months = incremental.refresh_gold(spark, root)["kpi_monthly"]
+    assert latest_run(spark, f"{root}/gold/group_totals")["operation"] == "difference"
+    left = silver.filter(month != first)
+    assert months.filter(F.col("order_month") == first).count() == 0
+    assert content(months) == content(gold.kpi_monthly(left))
+
+
+def test_a_refresh_reads_changed_orders_only(spark, silver, tmp_path):
+    root = str(tmp_path)
+    incremental.upsert_orders(silver, root)
+    incremental.refresh_totals(spark, root)
+    batch = changed(silver, 3)
+    incremental.upsert_orders(batch, root)
+    changes, version = incremental.pending_changes(spark, root, 0)
+    assert version == 1
+    files = incremental.signed_totals(changes).inputFiles()
+    assert files and all("/silver/order_changes/" in f for f in files)
+    assert changes.count() == 2 * batch.count()
+
+
+def test_orders_without_an_id_and_new_orders(spark, silver, tmp_path):
+    root = str(tmp_path)
+    incremental.upsert_orders(silver, root)
+    incremental.refresh_totals(spark, root)
+    new = silver.limit(5).withColumn("order_id", F.col("order_id") + 10**9)
+    nameless = silver.limit(1).withColumn("order_id", F.lit(None).cast("long"))
+    incremental.upsert_orders(new.unionByName(nameless).unionByName(nameless), root)
+    assert incremental.refresh_totals(spark, root) == "difference"
+    assert content(read_table(spark, f"{root}/gold/group_totals")) == totals_of(read_table(spark, f"{root}/silver/orders"))
+
+
+def test_totals_are_computed_anew_where_changes_are_not_known(spark, silver, tmp_path):
+    root = str(tmp_path)
+    incremental.upsert_orders(silver.limit(50), root)
+    incremental.refresh_totals(spark, root)
+    write_table(silver.limit(30), f"{root}/silver/orders")
+    assert incremental.refresh_totals(spark, root) == "full"
+    assert incremental.refresh_totals(spark, root, only_passed=True) == "full"
+    with pytest.raises(FileNotFoundError):
+        incremental.refresh_totals(spark, f"{root}/none")
+
+
+def test_repeated_keys_are_refused_and_change_nothing(spark, silver, tmp_path):
+    root = str(tmp_path)
+    incremental.upsert_orders(silver.limit(10), root)
+    twice = silver.limit(1).unionByName(silver.limit(1))
+    with pytest.raises(ValueError, match="not unique"):
+        incremental.upsert_orders(twice, root)
+    assert latest_run(spark, f"{root}/silver/orders")["version"] == 0
