@@ -10,16 +10,22 @@ Terms above `GENERALISE` are replaced by a general word, terms above `REMOVE` ar
 documents of that entity.
 
 All of it is built-in functions. Documents are read where they lie; only term counts, and the terms of distinct texts
-that hold entities, are shuffled. Copies are counted before pairs of entities and terms are listed, pairs that are too
-frequent to disclose are left out (which loses none), and tasks combine the others before they are shuffled.
-
-Defined results: null text is empty (and stays null when texts are rewritten); rows that repeat an id share the terms
-found for that id, a null id is an id like others; an empty table gives an empty result; other columns are kept by
-`sanitise` and ignored otherwise.
+that hold entities, are shuffled. Entities that are found in exactly the same texts have the same counts with every term, and
+so have terms; pairs are therefore listed of classes, by a fingerprint of the set of texts (two 64-bit hashes, combined by
+exclusive or), so a list of a thousand addresses is one entity to its terms. Pairs that are too frequent to disclose are left
+out (which loses none), and tasks combine the others before they are shuffled. Offsets are added up in two levels, so a
+text's cost is in proportion to its length and its matches.
+
+Defined results: null text is empty (and stays null when texts are rewritten); terms are found and hidden by text, so rows
+that repeat or lack an id are documents of their own; an empty table gives an empty result; other columns are kept by
+`sanitise`, whatever they are called, and ignored otherwise.
 """
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,34 +49,58 @@ LABELS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"
 
 TERM = r"\p{L}{3,}"
 LEAST_TEXTS = 3
-COMMON = 2**16
 GENERALISE = 0.8
 REMOVE = 0.95
-SPANS = "array<struct<kind:string,start:int,end:int>>"
+MATCHES = "array<struct<kind:string,start:int,end:int,value:string>>"
+# Numbers that are added up by appending, and characters that are counted from the beginning, at a time.
+RUN, CHUNK = 256, 4096
+Add = Callable[[Column, Column], Column]
+
+
+# --- arrays in one pass
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _scan(values: Column, first: Column, add: Add) -> Column:
+    """first + v1, first + v1 + v2, ...; the arrays that it appends to should be short."""
+    start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def step(state: Column, value: Column) -> Column:
+        at = add(state["at"], value)
+        return F.struct(at.alias("at"), F.concat(state["out"], F.array(at)).alias("out"))
+
+    return F.aggregate(values, start, step, lambda state: state["out"])
+
+
+def running(values: Column, add: Add) -> Column:
+    """Running totals of whole numbers from 0 under an associative operation, in runs of `RUN` and over the runs."""
+
+    def of(all_: Column) -> Column:
+        part = lambda r: F.slice(all_, r * RUN + 1, F.lit(RUN))
+        runs = F.sequence(F.lit(0), ((F.size(all_) - 1) / RUN).cast("int"))
+        totals = F.transform(runs, lambda r: F.aggregate(part(r), F.lit(0), add))
+        before = F.concat(F.array(F.lit(0)), _scan(totals, F.lit(0), add))
+        each = F.zip_with(runs, F.slice(before, F.lit(1), F.size(before) - 1), lambda r, b: _scan(part(r), b, add))
+        return F.when(F.size(all_) > 0, F.flatten(each)).otherwise(F.array().cast("array<int>"))
+
+    return _with(values, of)
 
 
 # --- fixed patterns
 
 
 def _matches(text: Column, pattern: Column, kind: Column) -> Column:
-    """Matches as (kind, start, end, value): a match begins after all pieces and matches before it."""
+    """Matches as (kind, start, end, value): a match ends after all pieces and matches up to it."""
     found, pieces = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-
-    def step(state: Column, pair: Column) -> Column:
-        here = state["at"] + F.length(pair["before"])
-        return F.struct(
-            (here + F.length(pair["value"])).alias("at"), F.concat(state["starts"], F.array(here)).alias("starts")
-        )
-
-    pairs = F.zip_with(
-        F.slice(pieces, 1, F.size(found)), found, lambda b, v: F.struct(b.alias("before"), v.alias("value"))
-    )
-    starts = F.aggregate(pairs, start, step, lambda state: state["starts"])
+    moves = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda b, v: F.length(b) + F.length(v))
     return F.zip_with(
-        starts,
+        running(moves, operator.add),
         found,
-        lambda s, v: F.struct(kind.alias("kind"), s.alias("start"), (s + F.length(v)).alias("end"), v.alias("value")),
+        lambda e, v: F.struct(kind.alias("kind"), (e - F.length(v)).alias("start"), e.alias("end"), v.alias("value")),
     )
 
 
@@ -99,7 +129,7 @@ def _valid(kind: str, value: Column) -> Column:
 
 def base_matches(text: Column) -> Column:
     """Array of (kind, start, end, value) by kind as in KINDS, then start."""
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
+    none = F.array().cast(MATCHES)
 
     def of(kind: str) -> Column:
         found = _matches(text, F.lit(PATTERNS[kind]), F.lit(kind))
@@ -140,64 +170,67 @@ def holders(docs: DataFrame) -> DataFrame:
     return stored(found.groupBy("digest").agg(F.count("*").alias("n"), *once), "pii-texts")
 
 
-def pairs(texts: DataFrame, frequency: DataFrame, n_docs: int) -> DataFrame:
-    """digest, n, entity, n_entity, term: what stands together in a text, without pairs that cannot disclose.
-
-    As n_both <= n_entity, a share of at least GENERALISE needs n_term <= n_entity * (N / n_entity) ** (1 - GENERALISE).
-    """
-    total = F.lit(float(n_docs))
-    often = (
-        texts.select("n", F.explode("entities").alias("entity"))
-        .groupBy("entity")
-        .agg(F.sum("n").alias("n_entity"), F.count("*").alias("n_texts"))
-        .filter(F.col("n_texts") >= LEAST_TEXTS)
-        .select("entity", "n_entity", (F.col("n_entity") * F.pow(total / F.col("n_entity"), 1 - GENERALISE) * (1 + 1e-9)).alias("most"))
-    )
-    kept = texts.select("digest", F.explode("entities").alias("entity")).join(often, "entity")
-    kept = kept.groupBy("digest").agg(F.collect_list(F.struct("entity", "n_entity", "most")).alias("kept"))
-    texts = stored(texts.select("digest", "n", "terms").join(kept, "digest"), "pii-kept")
-    # The most frequent terms by number, of a fixed count.
-    common = frequency.orderBy(F.desc("n_term"), "term").limit(COMMON)
-    return (
-        texts.select("digest", "n", "terms", F.explode("kept").alias("e"))
-        .select("digest", "n", "e.*", F.explode("terms").alias("term"))
-        .join(F.broadcast(common), "term", "left")
-        .filter("n_term IS NULL OR n_term <= most")
-        .select("digest", "n", "entity", "n_entity", "term")
+def by_holders(texts: DataFrame, column: str) -> DataFrame:
+    """The values of an array column that enough texts hold: value, n (documents), and holders (number and fingerprint
+    of the set of texts)."""
+    each = texts.select("digest", "n", F.explode(column).alias("value"))
+    prints = [F.bit_xor(F.xxhash64(F.lit(seed), "digest")) for seed in (1, 2)]
+    counted = each.groupBy("value").agg(
+        F.sum("n").alias("n"), F.struct(F.count("*").alias("n_texts"), prints[0].alias("x"), prints[1].alias("y")).alias("holders")
     )
+    return counted.filter(F.col("holders.n_texts") >= LEAST_TEXTS)
 
 
-def disclosing_terms(together: DataFrame, frequency: DataFrame, n_docs: int) -> DataFrame:
-    """entity, term, action ("term" to generalise, "drop" to remove); all counts are of documents."""
-    both = (
-        together.groupBy("entity", "n_entity", "term")
-        .agg(F.sum("n").alias("n_both"), F.count("*").alias("n_texts"))
-        .filter(F.col("n_texts") >= LEAST_TEXTS)
-    )
+def _classes(texts: DataFrame, column: str, known: DataFrame, name: str) -> DataFrame:
+    """digest, value, and the value's class."""
+    each = texts.select("digest", F.explode(column).alias("value"))
+    return stored(each.join(known, "value").select("digest", "value", "class"), name)
+
+
+def disclosing(texts: DataFrame, frequency: DataFrame, n_docs: int) -> DataFrame:
+    """digest, chosen: the terms of each text that disclose an entity in it, with the action ("term" to generalise,
+    "drop" to remove). All counts are of documents.
+
+    As n_both <= n_entity, a share of at least GENERALISE needs n_term <= n_entity * (N / n_entity) ** (1 - GENERALISE).
+    """
     total = F.lit(float(n_docs))
-    information = F.log2(total / F.col("n_entity"))
-    pmi = F.log2(total * F.col("n_both") / (F.col("n_entity").cast("double") * F.col("n_term")))
+    most = F.col("n") * F.pow(total / F.col("n"), 1 - GENERALISE) * (1 + 1e-9)
+    entities_ = stored(by_holders(texts, "entities").withColumn("most", most), "pii-entities")
+    limit = entities_.agg(F.max("most")).scalar()
+    terms_ = by_holders(texts, "terms").join(frequency.withColumnRenamed("term", "value"), "value")
+    terms_ = terms_.filter(F.col("n_term") <= limit).select("value", F.struct("holders.x", "holders.y", "n_term").alias("class"))
+    entity_class = F.struct("holders.x", "holders.y", F.col("n").alias("n_entity"), "most").alias("class")
+    of_entities = _classes(texts, "entities", entities_.select("value", entity_class), "pii-text-entities")
+    # Only texts with an entity that can be disclosed have terms to look at.
+    wanted = texts.join(of_entities.select("digest").distinct(), "digest", "left_semi")
+    of_terms = _classes(wanted, "terms", stored(terms_, "pii-term-classes"), "pii-text-terms")
+    e = of_entities.groupBy("digest").agg(F.collect_set("class").alias("es"))
+    t = of_terms.groupBy("digest").agg(F.collect_set("class").alias("ts"))
+    listed = texts.select("digest", "n").join(e, "digest").join(t, "digest")
+    listed = listed.select("digest", "n", F.explode("es").alias("e"), "ts").select("digest", "n", "e", F.explode("ts").alias("t"))
+    listed = listed.filter(F.col("t.n_term") <= F.col("e.most"))
+    both = listed.groupBy("e", "t").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_texts"))
+    both = both.filter(F.col("n_texts") >= LEAST_TEXTS)
+    information = F.log2(total / F.col("e.n_entity"))
+    pmi = F.log2(total * F.col("n_both") / (F.col("e.n_entity").cast("double") * F.col("t.n_term")))
     disclosed = F.when(information > 0, pmi / information)
     action = F.when(disclosed >= REMOVE, "drop").when(disclosed >= GENERALISE, "term")
-    return both.join(frequency, "term").select("entity", "term", action.alias("action")).filter("action IS NOT NULL")
+    found = stored(both.select("e", "t", action.alias("action")).filter("action IS NOT NULL"), "pii-disclosing")
+    chosen = listed.join(found, ["e", "t"]).select("digest", F.col("t").alias("class"), "action").distinct()
+    chosen = of_terms.join(chosen, ["digest", "class"]).groupBy("digest")
+    return stored(chosen.agg(F.collect_set(F.struct("action", F.col("value").alias("term"))).alias("chosen")), "pii-chosen")
 
 
-def _terms_by_document(docs: DataFrame) -> DataFrame:
+def terms_by_text(docs: DataFrame) -> DataFrame:
     texts, n_docs = holders(docs), docs.count()
     frequency = docs.select(F.explode(terms(text_or_empty())).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     # Written down, sizes are known, and what is small need not be shuffled with what is large.
     frequency = stored(frequency.filter(F.col("n_term") >= LEAST_TEXTS), "pii-frequency")
-    together = pairs(texts, frequency, n_docs)
-    found = together.join(stored(disclosing_terms(together, frequency, n_docs), "pii-disclosing"), ["entity", "term"])
-    by_text = found.groupBy("digest").agg(F.collect_set(F.struct("action", "term")).alias("chosen"))
-    by_text = stored(by_text, "pii-chosen")
-    chosen = docs.select("doc_id", _digest()).join(by_text, "digest").select("doc_id", F.explode("chosen").alias("c"))
-    by_document = chosen.groupBy(F.col("doc_id").alias("found_id")).agg(F.array_sort(F.collect_set("c")).alias("chosen"))
-    return stored(by_document, "pii-terms")
+    return disclosing(texts, frequency, n_docs)
 
 
 def _term_matches(text: Column, base: Column, chosen: Column) -> Column:
-    """Whole-word matches of the chosen terms outside of base matches, those to remove last."""
+    """Whole words that are chosen terms, outside of base matches, those to remove last."""
 
     def of(action: str) -> Column:
         own = F.transform(F.filter(chosen, lambda c: c["action"] == action), lambda c: c["term"])
@@ -205,25 +238,21 @@ def _term_matches(text: Column, base: Column, chosen: Column) -> Column:
         if action == "term":
             removed = F.transform(F.filter(chosen, lambda c: c["action"] == "drop"), lambda c: c["term"])
             own = F.array_except(own, removed)
-        pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(own, "|"), F.lit(r")(?!\p{L})"))
-        outside = F.filter(
-            _matches(text, pattern, F.lit(action)),
-            lambda m: ~F.exists(base, lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"])),
-        )
-        none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
-        return F.when(F.size(own) > 0, outside).otherwise(none)
+        words = _matches(text, F.lit(TERM), F.lit(action))
+        named = _with(own, lambda names: F.filter(words, lambda m: F.array_contains(names, F.lower(m["value"]))))
+        outside = F.filter(named, lambda m: ~F.exists(base, lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"])))
+        return F.when(F.size(own) > 0, outside).otherwise(F.array().cast(MATCHES))
 
     return F.when(F.size(chosen) > 0, F.concat(of("term"), of("drop")))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """All columns of `docs`, `base` (matches of the patterns) and `found` (these, then terms)."""
-    by_document = _terms_by_document(docs)
-    with_base = docs.withColumn("base", base_matches(text_or_empty()))
-    joined = with_base.join(by_document, F.col("doc_id").eqNullSafe(F.col("found_id")), "left")
-    more = _term_matches(text_or_empty(), F.col("base"), F.col("chosen"))
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
-    return joined.withColumn("found", F.concat("base", F.coalesce(more, none))).drop("found_id", "chosen")
+    """`row` (all columns of `docs`), `base` (matches of the patterns) and `found` (these, then terms)."""
+    chosen = terms_by_text(docs)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), base_matches(text_or_empty()).alias("base"), _digest())
+    more = _term_matches(text_or_empty("row.text"), F.col("base"), F.col("chosen"))
+    found = F.concat("base", F.coalesce(more, F.array().cast(MATCHES)))
+    return rows.join(chosen, "digest", "left").select("row", "base", found.alias("found"))
 
 
 def span_list(matches: str) -> Column:
@@ -239,31 +268,42 @@ def report(docs: DataFrame) -> DataFrame:
         return F.size(F.filter("base", lambda m: m["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     digest = F.sha2(span_list("base").cast("binary"), 256).alias("base_sha256")
-    return found.select("doc_id", *map(number, KINDS), digest, span_list("found").alias("spans"))
+    return found.select("row.doc_id", *map(number, KINDS), digest, span_list("found").alias("spans"))
+
+
+def _between(chunks: Column, start: Column, end: Column) -> Column:
+    """Characters from start to end of a text given in chunks."""
+    first, last = (start / CHUNK).cast("int"), (end / CHUNK).cast("int")
+    around = F.array_join(F.slice(chunks, first + 1, last - first + 1), "")
+    return F.substring(around, start - first * CHUNK + 1, end - start)
 
 
 def rewritten(text: Column, matches: Column) -> Column:
     """The text with every match replaced by its label; of overlapping matches the first gives the label."""
-    ordered = F.array_sort(F.transform(matches, lambda m: F.struct(m["start"], m["end"], m["kind"])))
     label = F.create_map(*[F.lit(x) for pair in LABELS.items() for x in pair])
+    ordered = F.array_sort(F.transform(matches, lambda m: F.struct(m["start"], m["end"], m["kind"])))
+    starts = F.sequence(F.lit(0), (F.length(text) / CHUNK).cast("int"))
+    chunks = F.transform(starts, lambda i: F.substring(text, i * CHUNK + 1, F.lit(CHUNK)))
 
-    def step(state: Column, m: Column) -> Column:
-        apart = m["start"] >= state["at"]
-        before = F.substring(text, state["at"] + 1, m["start"] - state["at"])
-        parts = F.when(apart, F.concat(state["parts"], F.array(before, label[m["kind"]]))).otherwise(state["parts"])
-        return F.struct(F.greatest(state["at"], m["end"]).alias("at"), parts.alias("parts"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    done = F.aggregate(
-        ordered,
-        start,
-        step,
-        lambda s: F.concat(F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.length(text))),
-    )
+    def parts(ms: Column, cs: Column) -> Column:
+        """What stands between the matches before and each match, and its label, if it begins after them."""
+
+        def of(ends: Column) -> Column:
+            def part(m: Column, i: Column) -> Column:
+                before = F.when(i > 0, F.get(ends, i - 1)).otherwise(0)
+                kept = F.concat(_between(cs, before, m["start"]), label[m["kind"]])
+                return F.when(m["start"] >= before, kept).otherwise("")
+
+            rest = _between(cs, F.get(ends, F.size(ends) - 1), F.length(text))
+            return F.concat(F.array_join(F.transform(ms, part), ""), rest)
+
+        return _with(running(F.transform(ms, lambda m: m["end"]), lambda a, b: F.greatest(a, b)), of)
+
+    done = _with(ordered, lambda ms: _with(chunks, lambda cs: parts(ms, cs)))
     return F.when(F.size(matches) > 0, done).otherwise(text)
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """The rows with personal data replaced in `text`."""
-    found = find_personal_data(docs)
-    return found.withColumn("text", rewritten(F.col("text"), F.col("found"))).select(*docs.columns)
+    clean = rewritten(F.col("row.text"), F.col("found"))
+    return find_personal_data(docs).select(*[(clean if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])

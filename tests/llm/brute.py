@@ -287,3 +287,43 @@ def repaired_conversations(rows: list[tuple]) -> dict:
         counts = [marks.count(m) for m in ("blank", "duplicate", "truncated")]
         out[conv] = (gaps, *counts, illegal, cost, audit, sha("\n".join(done)))
     return out
+
+
+def personal_spans(docs: list[tuple], generalise: float, remove: float, least: int) -> list[list[tuple]]:
+    """Per row of (id, text): base spans, then those of terms to generalise, then to remove; counts by dictionaries."""
+    import regex
+
+    digits = lambda v: re.sub("[^0-9]", "", v)
+    name = lambda t, k, a, b: f"{k}:{digits(t[a:b]) if k in ('card', 'phone') else t[a:b].translate(UPPER)}"
+    texts = [t or "" for _, t in docs]
+    number = Counter(texts)
+    entities = {t: {name(t, *s) for s in base_spans(t)} for t in number}
+    words = {t: set(regex.findall(r"\p{L}{3,}", t.lower())) for t in number}
+    n_entity, n_term, n_both, together = Counter(), Counter(), Counter(), Counter()
+    for t, n in number.items():
+        for w in words[t]:
+            n_term[w] += n
+        for e in entities[t]:
+            n_entity[e] += n
+            for w in words[t]:
+                n_both[e, w] += n
+                together[e, w] += 1
+    action = {}
+    for (e, w), both in n_both.items():
+        information = np.log2(len(docs) / n_entity[e])
+        if together[e, w] >= least and information > 0:
+            share = np.log2(len(docs) * both / (n_entity[e] * n_term[w])) / information
+            if share >= generalise:
+                action[e, w] = "drop" if share >= remove else "term"
+    out = []
+    for t in texts:
+        base = base_spans(t)
+        chosen: dict = {}
+        for e in entities[t]:
+            for w in words[t]:
+                if (e, w) in action:
+                    chosen[w] = min(action[e, w], chosen.get(w, "term"))
+        found = [(chosen.get(m[0].lower()), m.start(), m.end()) for m in regex.finditer(r"\p{L}{3,}", t)]
+        found = [m for m in found if m[0] and not any(m[1] < b and a < m[2] for _, a, b in base)]
+        out.append(base + [m for m in found if m[0] == "term"] + [m for m in found if m[0] == "drop"])
+    return out
