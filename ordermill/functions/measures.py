@@ -6,6 +6,8 @@ KPI table does not use are pruned by Spark.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,8 +16,10 @@ DELIVERED_SUMS = ("delivery_days_actual", "delivery_days_estimated", "delivery_d
 PLAIN_SUMS = ("payment_value", "review_score", "freight_ratio", *DELIVERED_SUMS)
 
 
-# Decimals wide enough for the measures that are floating-point numbers in Silver.
-EXACT = {"freight_ratio": "decimal(30,15)", "review_score": "decimal(18,6)"}
+# Floating-point measures of Silver as exact numbers: a decimal wide enough, or whole units of the given decimal, which
+# are summed much faster.
+EXACT = {"freight_ratio": "decimal(30,15)"}
+UNITS = {"review_score": Decimal("0.000001")}
 # Sums that are null where these counts are zero.
 COUNTED = {"delivered": "status_n", "canceled": "status_n"}
 COUNTED |= {f"{n}_sum": f"{n}_n" for n in (*PLAIN_SUMS, *[f"delivered_{n}" for n in DELIVERED_SUMS])}
@@ -24,7 +28,7 @@ COUNTED |= {f"{n}_sum": f"{n}_n" for n in (*PLAIN_SUMS, *[f"delivered_{n}" for n
 def totals(exact: bool = False, sign: str | None = None) -> list[Column]:
     """Aggregates over Silver: `orders`, `rows`, flag totals, and `<x>_sum` / `<x>_n` per measure.
 
-    `exact` sums floating-point measures as decimals (a ratio beyond 15 digits before the point does not count), so that
+    `exact` sums floating-point measures as exact numbers (a ratio beyond 15 digits before the point does not count), so that
     rows can be taken out of a sum again, and adds `status_n`, the rows with a status. `sign` names a column of 1 and -1
     that tells rows to add from rows to take out.
     """
@@ -49,10 +53,19 @@ def totals(exact: bool = False, sign: str | None = None) -> list[Column]:
     ]
     if exact:
         out.append(number(delivered.isNotNull()).alias("status_n"))
-    sources = {n: F.col(n).try_cast(EXACT[n]) if exact and n in EXACT else F.col(n) for n in PLAIN_SUMS}
+
+    def source(name: str) -> Column:
+        if exact and name in UNITS:
+            return F.round(F.col(name).cast("double") / float(UNITS[name])).try_cast("long")
+        return F.col(name).try_cast(EXACT[name]) if exact and name in EXACT else F.col(name)
+
+    sources = {n: source(n) for n in PLAIN_SUMS}
     sources |= {f"delivered_{n}": F.when(delivered, F.col(n)) for n in DELIVERED_SUMS}
     for name, value in sources.items():
-        out += [F.sum(signed(value)).alias(f"{name}_sum"), number(value.isNotNull()).alias(f"{name}_n")]
+        total = F.sum(signed(value))
+        if exact and name in UNITS:
+            total = (total * F.lit(UNITS[name])).cast("decimal(38,6)")
+        out += [total.alias(f"{name}_sum"), number(value.isNotNull()).alias(f"{name}_n")]
     return out
 
 

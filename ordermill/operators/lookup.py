@@ -116,7 +116,8 @@ def spread_join(
     # At most 1/share rows, whatever the data.
     hot = F.broadcast(hot_keys(census, key, share))
     place = F.xxhash64(*facts.columns, F.spark_partition_id())
-    salt = F.pmod(place, F.coalesce(F.col("_buckets"), F.lit(1)))
+    # Only rows of hot keys are hashed.
+    salt = F.when(F.col("_buckets").isNotNull(), F.pmod(place, F.col("_buckets"))).otherwise(F.lit(0).cast("bigint"))
     spread_facts = (
         facts.join(hot, F.col(key).eqNullSafe(F.col("_hot_key")), "left")
         .withColumn("_salt", salt)

@@ -166,10 +166,13 @@ def memberships() -> Column:
     )
 
 
-def group_totals(silver: DataFrame) -> DataFrame:
-    """Exact totals of every group of every KPI table, from one scan and one shuffle of partial sums."""
-    rows = silver.withColumn("member", F.explode(memberships()))
-    return rows.groupBy("member.table", "member.item").agg(*m.totals(exact=True))
+def group_totals(rows: DataFrame, sign: str | None = None) -> DataFrame:
+    """Exact totals of every group of every KPI table, from one scan and one shuffle of partial sums. `sign` names a
+    column of 1 and -1, for rows of Silver to add and to take out."""
+    members = rows.withColumn("member", F.explode(memberships()))
+    # Only the one table shows this measure.
+    ratio = F.when(F.col("member.table") == "kpi_global", F.col("freight_ratio"))
+    return members.withColumn("freight_ratio", ratio).groupBy("member.table", "member.item").agg(*m.totals(True, sign))
 
 
 def kpi_tables(totals: DataFrame) -> dict[str, DataFrame]:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import measures as m
 from ordermill.operators.upsert import require_unique, upsert
-from ordermill.plans.gold import group_totals, kpi_tables, memberships, passed_only
+from ordermill.plans.gold import group_totals, kpi_tables, passed_only
 from ordermill.plans.silver import PARTITION_COLUMN
 from ordermill.session import scratch_dir
 from ordermill.sources.tables import (
@@ -107,8 +107,7 @@ def pending_changes(spark: SparkSession, root: str, since: int) -> tuple[DataFra
 
 def signed_totals(changes: DataFrame) -> DataFrame:
     """What the rows of a change set add to the totals of their groups, or take from them."""
-    rows = changes.withColumn("member", F.explode(memberships()))
-    return rows.groupBy("member.table", "member.item").agg(*m.totals(exact=True, sign=SIGN))
+    return group_totals(changes, SIGN)
 
 
 def add_totals(totals: DataFrame, more: DataFrame) -> DataFrame:
