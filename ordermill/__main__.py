@@ -20,7 +20,7 @@ from ordermill.plans import gold, pipeline  # noqa: E402
 from ordermill.session import build_session  # noqa: E402
 from ordermill.sources import raw, serving  # noqa: E402
 from ordermill.sources.tables import history, read_table  # noqa: E402
-from ordermill.streaming import apply, events, ingest  # noqa: E402
+from ordermill.streaming import apply, dedup, events, ingest, progress  # noqa: E402
 
 
 def bronze(spark, args) -> None:
@@ -57,27 +57,24 @@ def publish(spark, args) -> None:
     events.publish(events.to_messages(made), **target)
 
 
-def _watch(query) -> None:
-    query.awaitTermination()
+def _stream(spark, args, name, start, **parsing) -> None:
+    """Messages of the topic, each event once, with a row for every batch in `<root>/progress/<name>`."""
+    source = ingest.broker_source(spark, args.servers, args.topic, args.max_offsets)
+    parsed = dedup.distinct_events(progress.observed_messages(source, **parsing), args.repeats_within)
+    with progress.ProgressLog(spark, f"{args.root}/progress/{name}"):
+        query = start(parsed, f"{args.root}/checkpoints/{name}", None if args.once else ingest.INTERVAL)
+        query.awaitTermination()
     print(ingest.progress(query))
 
 
-def _messages(spark, args):
-    return ingest.parse_messages(ingest.broker_source(spark, args.servers, args.topic, args.max_offsets))
-
-
 def ingest_topic(spark, args) -> None:
-    interval = None if args.once else ingest.INTERVAL
-    checkpoint = f"{args.root}/checkpoints/bronze_events"
     target = f"{args.root}/bronze/order_events"
-    _watch(ingest.start_ingest(_messages(spark, args), target, checkpoint, interval))
+    _stream(spark, args, "bronze_events", lambda df, *how: ingest.start_ingest(df, target, *how), keep_unknown=True)
 
 
 def apply_topic(spark, args) -> None:
-    interval = None if args.once else ingest.INTERVAL
-    checkpoint = f"{args.root}/checkpoints/silver_events"
     path = pipeline.silver_path(args.root)
-    _watch(apply.start_apply(_messages(spark, args), path, checkpoint, interval))
+    _stream(spark, args, "silver_events", lambda df, *how: apply.start_apply(df, path, *how))
 
 
 def compact(spark, args) -> None:
@@ -102,6 +99,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topic", default=events.TOPIC)
     parser.add_argument("--max-offsets", type=int, default=ingest.MAX_OFFSETS)
     parser.add_argument("--once", action="store_true", help="take in what is there, then stop")
+    parser.add_argument("--repeats-within", default=dedup.DELAY, help="message time in which a repeated event is known")
     parser.add_argument("--master", help="only without spark-submit")
     args = parser.parse_args(argv)
     STAGES[args.stage](build_session("ordermill", args.master), args)

@@ -133,6 +133,10 @@ def upsert_table(
 ) -> int:
     """Update matched rows, insert the others; create the table when it is missing.
 
+    The whole table is read and written, however few rows the source has: an upsert of one order takes nearly as
+    long as building the table (6.9 s against 8.8 s at 150,000 orders on eight cores). Small frequent changes
+    belong in the event path (`streaming.apply`), whose cost is that of the batch.
+
     `known_unique` skips the check that `source` holds each key once (it is deduplicated already).
     A row whose partition value changes moves, since the new snapshot is written as a whole.
     """

@@ -24,10 +24,10 @@ PROGRESS_SCHEMA = """
     rows_per_second DOUBLE, without_id BIGINT, unreadable BIGINT, stored BIGINT, milliseconds BIGINT"""
 
 
-def observed_messages(messages: DataFrame) -> DataFrame:
+def observed_messages(messages: DataFrame, keep_unknown: bool = False) -> DataFrame:
     """As `parse_messages`, counting on the way; the counts are in the progress of the query and in the log below."""
     unreadable = F.from_json(F.col("value").cast("string"), "map<string,string>").isNull()
-    columns = message_columns(messages.withColumn("_unreadable", unreadable), "_unreadable")
+    columns = message_columns(messages.withColumn("_unreadable", unreadable), "_unreadable", keep_unknown=keep_unknown)
     counted = columns.observe(
         METRICS,
         F.count(F.lit(1)).alias("rows_in"),
