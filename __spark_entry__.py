@@ -491,6 +491,7 @@ def silver_metrics(spark, sf_dir):
 def orders_enriched_bucketed(spark, sf_dir):
     """From raw tables that were stored by order."""
     raw = _raw(spark, sf_dir)
+    raw = {**raw, "orders": _stored(spark, raw["orders"], "raw-orders")}
     stored = pipeline.store_by_order(spark, raw, f"{scratch_dir(spark, 'buckets')}/bronze")
     return plain(enrich_orders({**raw, **stored}).drop("bronze_ingested_at"))
 

@@ -67,3 +67,15 @@ def test_empty_and_null_keys(spark, tmp_path, rows):
     assert rows(buckets.read_bucketed(spark, f"{tmp_path}/n", "k", 3, "k INT, v INT")) == rows(frame)
     tables.write_table(frame.limit(0), f"{tmp_path}/e", buckets=("k", 3))
     assert tables.read_table(spark, f"{tmp_path}/e").count() == 0
+
+
+def test_the_search_for_hot_keys_reads_its_input_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(k):
+        read.add(1)
+        return k
+
+    assert buckets.has_even_buckets(spark.range(3000).select(counted("id").alias("k")), "k", 8)
+    assert read.value == 3000
