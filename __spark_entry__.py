@@ -561,7 +561,8 @@ def _incremental(table: str) -> Query:
 
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw, root = _raw(spark, sf_dir), scratch_dir(spark, "incremental")
-        orders, number, placed = raw["orders"], F.col("order_id"), F.col("order_purchase_timestamp")
+        orders, number, placed = _stored(spark, raw["orders"], "raw-orders"), F.col("order_id"), F.col("order_purchase_timestamp")
+        raw = {**raw, "orders": orders}
         pipeline.apply_updates(spark, raw, root)
         moved = {"order_status": F.lit("delivered"), "order_purchase_timestamp": placed + F.expr("INTERVAL 40 DAYS")}
         pipeline.apply_updates(spark, {**raw, "orders": orders.filter(number % 7 == 0).withColumns(moved)}, root)

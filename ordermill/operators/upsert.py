@@ -17,13 +17,18 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     the keys of the source. While Spark finds those small enough to broadcast, the target is not shuffled.
     """
     keys = source.select(key).filter(F.col(key).isNotNull())
-    own = [c for c in target.columns if c not in source.columns]
-    changed = source
-    if own:
-        kept = target.join(keys, key, "left_semi").select(key, *own)
-        changed = source.join(kept, key, "left")
     untouched = target.join(keys, key, "left_anti")
-    return changed.unionByName(untouched, allowMissingColumns=True)
+    return with_own_columns(target, source, key).unionByName(untouched, allowMissingColumns=True)
+
+
+def with_own_columns(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """`source` with the columns that only the target has, from the row of the same key."""
+    own = [c for c in target.columns if c not in source.columns]
+    if not own:
+        return source
+    keys = source.select(key).filter(F.col(key).isNotNull())
+    kept = target.join(keys, key, "left_semi").select(key, *own)
+    return source.join(kept, key, "left")
 
 
 def repeated_keys(source: DataFrame, key: str) -> DataFrame:

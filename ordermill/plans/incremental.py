@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions import measures as m
-from ordermill.operators.upsert import require_unique, upsert
+from ordermill.operators.upsert import require_unique, with_own_columns
 from ordermill.plans.gold import group_totals, kpi_tables, passed_only
 from ordermill.plans.silver import PARTITION_COLUMN
 from ordermill.session import scratch_dir
@@ -68,10 +68,11 @@ def upsert_orders(
     """
     spark, path, key = source.sparkSession, f"{root}/silver/orders", "order_id"
     run = latest_run(spark, path)
-    # Read more than once below, so it is computed once.
-    batch = scratch_dir(spark, "order-updates")
-    source.write.parquet(batch)
-    source = spark.read.schema(source.schema).parquet(batch)
+    if run is not None or not known_unique:
+        # Read more than once below, so it is computed once.
+        batch = scratch_dir(spark, "order-updates")
+        source.write.parquet(batch)
+        source = spark.read.schema(source.schema).parquet(batch)
     if not known_unique:
         require_unique(source, key)
     gone = None if deleted is None else deleted.select(key).filter(f"{key} IS NOT NULL").distinct()
@@ -84,12 +85,12 @@ def upsert_orders(
     touched = touched if gone is None else touched.unionByName(gone).distinct()
     before = old.join(touched, key, "left_semi")
     # Columns that only Silver has are taken over from the row before, as in the new state.
-    after = upsert(before if gone is None else before.join(gone, key, "left_anti"), source, key)
+    after = with_own_columns(before, source, key)
     folder = f"{run['version'] + 1:012d}-{uuid.uuid4().hex}"
     changes = change_set(_with_columns(before, after), _with_columns(after, before))
     changes.write.parquet(f"{root}/silver/order_changes/{folder}")
-    kept = old if gone is None else old.join(gone, key, "left_anti")
-    merged = upsert(kept, source, key)
+    # One join for rows that were replaced and rows that go.
+    merged = after.unionByName(old.join(touched, key, "left_anti"), allowMissingColumns=True)
     return write_table(merged, path, (PARTITION_COLUMN,), "merge", {"key": key, "changes": folder}, folder=folder)
 
 

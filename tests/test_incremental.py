@@ -133,3 +133,16 @@ def test_repeated_keys_are_refused_and_change_nothing(spark, silver, tmp_path):
     with pytest.raises(ValueError, match="not unique"):
         incremental.upsert_orders(twice, root)
     assert latest_run(spark, f"{root}/silver/orders")["version"] == 0
+
+
+def test_a_first_load_is_written_once_and_a_merge_joins_its_state_once(spark, silver, tmp_path, monkeypatch):
+    root, merges = str(tmp_path), []
+    write = incremental.write_table
+    monkeypatch.setattr(incremental, "write_table", lambda df, *more, **named: merges.append(df) or write(df, *more, **named))
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "scratch_dir", lambda *_: pytest.fail("the first load was written twice"))
+        incremental.upsert_orders(silver, root, known_unique=True)
+    gone = silver.filter("order_id % 17 = 0").select("order_id")
+    incremental.upsert_orders(changed(silver, 1), root, gone, known_unique=True)
+    assert merges[-1]._jdf.queryExecution().analyzed().toString().count("LeftAnti") == 2
+    assert read_table(spark, f"{root}/silver/orders").count() == silver.count() - gone.count()
