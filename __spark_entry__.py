@@ -18,7 +18,7 @@ from ordermill.operators.dedup import latest_per_key  # noqa: E402
 from ordermill.operators.upsert import upsert  # noqa: E402
 from ordermill.plans import gold, pipeline, questions, rollups, star  # noqa: E402
 from ordermill.plans.silver import build_silver, enrich_orders, flagged_versions  # noqa: E402
-from ordermill.session import scratch_dir  # noqa: E402
+from ordermill.session import COMPRESSED, freed_shuffles, scratch_dir, slices  # noqa: E402
 from ordermill.sources import raw as raw_files  # noqa: E402
 from ordermill.sources import serving, tables  # noqa: E402
 from ordermill.streaming import apply, dedup, events, ingest, progress  # noqa: E402
@@ -62,10 +62,12 @@ def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.read_star(spark, sf_dir)["nation"].select(F.col("n_name").alias("seller_state"))
 
 
-def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Input that a query reads several times, computed once and written to the shared folder."""
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
+def _stored(spark: SparkSession, df: DataFrame, name: str, key: str | None = None, path: str | None = None) -> DataFrame:
+    """Input that a query reads several times, computed once and written to the shared folder, in slices of `key` if large."""
+    path = path or scratch_dir(spark, name)
+    with freed_shuffles(spark):
+        for part in slices(df, key) if key else [df]:
+            part.write.options(**COMPRESSED).mode("append").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

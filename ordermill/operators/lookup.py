@@ -29,6 +29,18 @@ def input_bytes(df: DataFrame) -> int:
     return total
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the files that `df` reads; files that it reads several times count once, other inputs not at all."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    sizes = {}
+    while leaves.hasNext():
+        leaf = leaves.next()
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and hasattr(leaf.relation(), "location"):
+            location = leaf.relation().location()
+            sizes[location.rootPaths().toString()] = int(location.sizeInBytes())
+    return sum(sizes.values())
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return input_bytes(df) <= limit
 

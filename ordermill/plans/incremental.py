@@ -27,7 +27,8 @@ from ordermill.functions import measures as m
 from ordermill.operators.upsert import require_unique, with_own_columns
 from ordermill.plans.gold import group_totals, kpi_tables, passed_only
 from ordermill.plans.silver import PARTITION_COLUMN
-from ordermill.session import scratch_dir
+from ordermill.session import COMPRESSED, freed_shuffles, scratch_dir, slices
+from ordermill.sources.files import delete_folder
 from ordermill.sources.tables import (
     latest_run,
     read_run,
@@ -68,18 +69,27 @@ def upsert_orders(
     """
     spark, path, key = source.sparkSession, f"{root}/silver/orders", "order_id"
     run = latest_run(spark, path)
-    if run is not None or not known_unique:
+    with freed_shuffles(spark):
+        if run is None and known_unique:
+            return _upsert(source, path, root, run, deleted, known_unique)
         # Read more than once below, so it is computed once.
         batch = scratch_dir(spark, "order-updates")
-        source.write.parquet(batch)
-        source = spark.read.schema(source.schema).parquet(batch)
+        for part in slices(source, key):
+            part.write.options(**COMPRESSED).mode("append").parquet(batch)
+        rows = _upsert(spark.read.schema(source.schema).parquet(batch), path, root, run, deleted, known_unique)
+        delete_folder(spark, batch)
+        return rows
+
+
+def _upsert(source: DataFrame, path: str, root: str, run: dict | None, deleted: DataFrame | None, known_unique: bool) -> int:
+    spark, key = source.sparkSession, "order_id"
     if not known_unique:
         require_unique(source, key)
     gone = None if deleted is None else deleted.select(key).filter(f"{key} IS NOT NULL").distinct()
     if gone is not None:
         source = source.join(gone, key, "left_anti")
     if run is None:
-        return write_table(source, path, (PARTITION_COLUMN,), "create")
+        return write_table(source, path, (PARTITION_COLUMN,), "create", slice_by=key)
     old = read_run(spark, path, run)
     touched = source.select(key).filter(f"{key} IS NOT NULL")
     touched = touched if gone is None else touched.unionByName(gone).distinct()
@@ -88,10 +98,11 @@ def upsert_orders(
     after = with_own_columns(before, source, key)
     folder = f"{run['version'] + 1:012d}-{uuid.uuid4().hex}"
     changes = change_set(_with_columns(before, after), _with_columns(after, before))
-    changes.write.parquet(f"{root}/silver/order_changes/{folder}")
+    for part in slices(changes, key):
+        part.write.options(**COMPRESSED).mode("append").parquet(f"{root}/silver/order_changes/{folder}")
     # One join for rows that were replaced and rows that go.
     merged = after.unionByName(old.join(touched, key, "left_anti"), allowMissingColumns=True)
-    return write_table(merged, path, (PARTITION_COLUMN,), "merge", {"key": key, "changes": folder}, folder=folder)
+    return write_table(merged, path, (PARTITION_COLUMN,), "merge", {"key": key, "changes": folder}, folder=folder, slice_by=key)
 
 
 def pending_changes(spark: SparkSession, root: str, since: int) -> tuple[DataFrame | None, int] | None:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators.upsert import require_unique, upsert
+from ordermill.session import COMPRESSED, freed_shuffles, slices
 from ordermill.sources.buckets import has_even_buckets, read_bucketed, write_bucketed
 from ordermill.sources.files import create_text, list_names, read_text
 
@@ -81,12 +82,16 @@ def write_table(
     applied_through: int | None = None,
     folder: str | None = None,
     buckets: tuple[str, int] | None = None,
+    slice_by: str | None = None,
+    slice_share: float = 1,
 ) -> int:
     """Replace the table, schema included, and return the number of rows written.
 
     `folder` names the new snapshot for callers that leave something of the same name beside it; it must be unique.
     `buckets` (column, number) writes the rows bucketed and sorted by a column (see `buckets`); a column with a value too
     frequent for that is refused by writing the table without buckets.
+    `slice_by` names the key that a large `df` is joined or grouped by: it is then written in slices of that key, so that its
+    shuffles take the disk of a slice (see `session.slices`).
     `applied_through` is the last stream batch the new state holds; by default that of the state before.
 
     Partitioned writes are rebalanced first: small partitions get few files, and a partition that holds
@@ -96,18 +101,20 @@ def write_table(
     spark = df.sparkSession
     last = latest_run(spark, path)
     version = 0 if last is None else last["version"] + 1
-    counted = Observation()
-    out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     if buckets and not has_even_buckets(df, *buckets):
         buckets = None
-    if partition_by and spark.conf.get("spark.sql.adaptive.enabled") == "true":
-        out = out.hint("rebalance", *partition_by)
     folder = folder or f"{version:012d}-{uuid.uuid4().hex}"
-    if buckets:
-        write_bucketed(out, f"{path}/snapshots/{folder}", *buckets)
-    else:
-        out.write.partitionBy(*partition_by).parquet(f"{path}/snapshots/{folder}")
-    rows = counted.get["rows"]
+    rows = 0
+    for part in slices(df, slice_by, slice_share) if slice_by and not buckets else [df]:
+        counted = Observation()
+        out = part.observe(counted, F.count(F.lit(1)).alias("rows"))
+        if partition_by and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+            out = out.hint("rebalance", *partition_by)
+        if buckets:
+            write_bucketed(out, f"{path}/snapshots/{folder}", *buckets)
+        else:
+            out.write.options(**COMPRESSED).mode("append").partitionBy(*partition_by).parquet(f"{path}/snapshots/{folder}")
+        rows += counted.get["rows"]
     in_buckets = {"buckets": {"key": buckets[0], "number": buckets[1], "schema": df.schema.toDDL()}} if buckets else {}
     run = {
         "version": version,
@@ -141,9 +148,10 @@ def upsert_table(
     A row whose partition value changes moves, since the new snapshot is written as a whole.
     """
     spark = source.sparkSession
-    if not table_exists(spark, path):
-        return write_table(source, path, partition_by, "create")
-    if not known_unique:
-        require_unique(source, key)
-    merged = upsert(read_table(spark, path), source, key)
-    return write_table(merged, path, partition_by, "merge", {"key": key})
+    with freed_shuffles(spark):
+        if not table_exists(spark, path):
+            return write_table(source, path, partition_by, "create", slice_by=key)
+        if not known_unique:
+            require_unique(source, key)
+        merged = upsert(read_table(spark, path), source, key)
+        return write_table(merged, path, partition_by, "merge", {"key": key}, slice_by=key)
