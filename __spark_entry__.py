@@ -372,9 +372,9 @@ def stream_upsert(spark, sf_dir):
 @query
 def stream_batch_mixed(spark, sf_dir):
     """Batch, events, batch, events for fixed orders, folded once on the way; times are written in two formats."""
-    path = f"{scratch_dir(spark, 'mixed')}/silver"
+    path, kept = f"{scratch_dir(spark, 'mixed')}/silver", scratch_dir(spark, "events")
     number = F.col("order_id").cast("bigint")
-    state = _stored_events(spark, sf_dir)
+    state = _stored_events(spark, sf_dir, kept)
 
     def at(day: int):
         return F.to_timestamp("order_purchase_ts") + F.make_dt_interval(F.lit(day))
@@ -393,10 +393,11 @@ def stream_batch_mixed(spark, sf_dir):
 
     batch(state, 0)
     send(state.filter(number % 2 == 0), "shipped", 2, 0)
-    apply.compact(spark, path)
+    apply.compact(spark, path, keep_folded=False)
     batch(state.filter(number % 3 == 0).withColumn("order_status", F.lit("delivered")), 4)
     send(state.filter(number % 5 == 0), "canceled", 3, 1)
-    return apply.read_current(spark, path).select("order_id", "order_status")
+    delete_folder(spark, kept)
+    return _stored(spark, apply.read_current(spark, path).select("order_id", "order_status"), "current", "order_id")
 
 
 # --- rows and joins
